@@ -37,17 +37,32 @@ def apply_cdc(events: DataFrame, spec: CdcSpec, scd_type: int) -> DataFrame:
 
 
 class Flow:
-    """Stage accessors over one set of source tables (or over written tables
-    when ``overrides`` maps a stage name to an already materialised frame)."""
+    """Stage accessors over one set of source tables.
 
-    def __init__(self, tables: Tables, overrides: dict[str, DataFrame] | None = None):
+    With ``store`` set, silver tables and dimensions are written once as
+    clustered Parquet tables below ``store`` (a shared folder) and read back:
+    downstream stages then scan the stored tables, as the pipeline's facts
+    and consumer queries do, and their lineage stops at the stored table.
+    ``overrides`` maps a stage name to an already materialised frame.
+    """
+
+    STORED_PREFIXES = ("silver_", "dim_")
+
+    def __init__(self, tables: Tables, overrides: dict[str, DataFrame] | None = None,
+                 store: str | None = None):
         self.t = tables
         self.spark = tables.spark
+        self.store = store.rstrip("/") if store else None
         self._memo: dict[str, DataFrame] = dict(overrides or {})
 
     def _get(self, key: str, build) -> DataFrame:
         if key not in self._memo:
-            self._memo[key] = build()
+            df = build()
+            if self.store and key.startswith(self.STORED_PREFIXES):
+                path = f"{self.store}/{key}"
+                write_table(df, path, TABLES[key])
+                df = self.spark.read.parquet(path)
+            self._memo[key] = df
         return self._memo[key]
 
     def feed(self, folder: str) -> DataFrame:
@@ -83,24 +98,17 @@ class Flow:
 def run_batch(spark: SparkSession, source_root: str, out_root: str) -> dict[str, str]:
     """Materialise silver, dimensions and facts as clustered Parquet tables.
 
-    Each stage is written once and read back for the next stage, which also
+    Each stage is written once and read back by the next stage, which also
     cuts the lineage between stages (a lost executor recomputes from the last
     written table, not from the sources).
     """
-    flow = Flow(Tables(spark, source_root))
-    paths: dict[str, str] = {}
-
-    def materialise(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out_root.rstrip('/')}/{name}"
-        write_table(df, path, TABLES[name])
-        paths[name] = path
-        flow._memo[name] = spark.read.parquet(path)
-        return flow._memo[name]
-
+    flow = Flow(Tables(spark, source_root), store=out_root)
     for name in SILVER:
-        materialise(name, flow.silver(name))
+        flow.silver(name)
     for name in DIMENSIONS:
-        materialise(name, flow.dim(name))
+        flow.dim(name)
+    paths = {name: f"{flow.store}/{name}" for name in (*SILVER, *DIMENSIONS)}
     for name in ("fact_demand_fulfillment", "fact_work_order_completion"):
-        materialise(name, flow.fact(name))
+        paths[name] = f"{flow.store}/{name}"
+        write_table(flow.fact(name), paths[name], TABLES[name])
     return paths

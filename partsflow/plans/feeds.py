@@ -369,26 +369,31 @@ def work_orders(t: Tables) -> DataFrame:
     n_tech = t.n_technicians()
     created, scheduled = _wo_dates(k, n_tech)
     prio = _priority()
-    wo_type = pick(mix(k, 7919, 7, 100), V.cumulative(V.WO_TYPES), "INSPECTION")
-    status = pick(mix(k, 104729, 2, 100), V.cumulative(V.WO_STATUSES), "CANCELLED")
     src = (t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
            .join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"), "left")
            .join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"), "left"))
-    return src.select(
+    # Stage the shared sub-expressions once (kept as a separate projection).
+    staged = src.select(
+        "o_orderkey", "o_custkey", "r_name", prio.alias("_prio"), created.alias("_created"),
+        scheduled.alias("_scheduled"), pick(mix(k, 7919, 7, 100), V.cumulative(V.WO_TYPES), "INSPECTION").alias("_type"),
+        pick(mix(k, 104729, 2, 100), V.cumulative(V.WO_STATUSES), "CANCELLED").alias("_status"),
+        F.pmod(k, n_tech).alias("_tech"), wo_part_key(k, t.n_parts()).alias("_part"))
+    c = F.col
+    return staged.select(
         F.format_string("WO-%07d", k).alias("wo_id"),
         F.when(F.pmod(k, F.lit(101)) == 0, F.lit(None).cast("string"))
-        .otherwise(F.format_string("CUST-%05d", F.col("o_custkey"))).alias("customer_id"),
-        fmt_part(wo_part_key(k, t.n_parts())).alias("part_id"),
-        F.format_string("TECH-%04d", F.pmod(k, n_tech)).alias("technician_id"),
-        created.alias("created_date"),
-        scheduled.alias("scheduled_date"),
-        wo_type.alias("wo_type"),
-        F.when(F.pmod(k, F.lit(9)) == 7, F.lower(prio)).otherwise(prio).alias("priority"),
-        F.when(F.pmod(k, F.lit(9)) == 1, F.lower(status)).otherwise(status).alias("wo_status"),
-        F.format_string("Service work order #%d - %s", k, wo_type).alias("description"),
-        F.col("r_name").alias("region"),
-        ts_ntz(created).alias("created_at"),
+        .otherwise(F.format_string("CUST-%05d", c("o_custkey"))).alias("customer_id"),
+        fmt_part(c("_part")).alias("part_id"),
+        F.format_string("TECH-%04d", c("_tech")).alias("technician_id"),
+        c("_created").alias("created_date"),
+        c("_scheduled").alias("scheduled_date"),
+        c("_type").alias("wo_type"),
+        F.when(F.pmod(k, F.lit(9)) == 7, F.lower(c("_prio"))).otherwise(c("_prio")).alias("priority"),
+        F.when(F.pmod(k, F.lit(9)) == 1, F.lower(c("_status"))).otherwise(c("_status")).alias("wo_status"),
+        F.format_string("Service work order #%d - %s", k, c("_type")).alias("description"),
+        c("r_name").alias("region"),
+        ts_ntz(c("_created")).alias("created_at"),
     )
 
 
@@ -406,36 +411,42 @@ def completion_delay(availability: Column, labor: Column, lead: Column) -> Colum
 
 def customer_quotes(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
+    c = F.col
     n_tech = t.n_technicians()
     src = (t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
            .withColumn("_part", wo_part_key(k, t.n_parts()))
            .withColumn("j", F.explode(F.sequence(F.lit(1), F.pmod(k, F.lit(3)) + F.lit(1)))))
     src = _with_part_price(src, t, "_part")
-    qx = k * F.lit(4) + F.col("j")
+    qx = c("_qx")
     created, _ = _wo_dates(k, n_tech)
-    quote_date = F.date_add(created, mix(qx, 131, 5, 3).cast("int"))
-    avail = pick(mix(qx, 7919, 1, 100), V.cumulative(V.AVAILABILITY), "SPECIAL_ORDER")
-    labor = pick(mix(qx, 104729, 4, 100), V.cumulative(V.LABOR_AVAILABILITY), "NEXT_WEEK")
-    delay = completion_delay(avail, labor, lead_time_of(F.col("_part")))
+    # Stage the shared sub-expressions once (kept as separate projections).
+    s1 = src.select("o_orderkey", "o_custkey", "_part", "_price_c", "j",
+                    (k * F.lit(4) + c("j")).alias("_qx"), created.alias("_created"))
+    s2 = s1.select(
+        "*",
+        F.date_add(c("_created"), mix(qx, 131, 5, 3).cast("int")).alias("_qd"),
+        pick(mix(qx, 7919, 1, 100), V.cumulative(V.AVAILABILITY), "SPECIAL_ORDER").alias("_avail"),
+        pick(mix(qx, 104729, 4, 100), V.cumulative(V.LABOR_AVAILABILITY), "NEXT_WEEK").alias("_labor"),
+        pick(mix(qx, 31, 8, 100), V.cumulative(V.QUOTE_STATUSES), "EXPIRED").alias("_status"),
+        idiv(F.coalesce(c("_price_c"), F.lit(5000)) * (mix(qx, 7919, 1, 201) + F.lit(100)), 100).alias("_parts_c"),
+        (mix(qx, 104729, 9, 16000) + F.lit(4000)).alias("_labor_c"))
+    delay = completion_delay(c("_avail"), c("_labor"), lead_time_of(c("_part")))
     slack = mix(qx, 17, 3, V.SLACK_DAYS[1] - V.SLACK_DAYS[0] + 1) + F.lit(V.SLACK_DAYS[0])
-    parts_c = idiv(F.coalesce(F.col("_price_c"), F.lit(5000)) * (mix(qx, 7919, 1, 201) + F.lit(100)), 100)
-    labor_c = mix(qx, 104729, 9, 16000) + F.lit(4000)
-    total_c = F.when(F.pmod(qx, F.lit(97)) == 0, F.lit(0)).otherwise(parts_c + labor_c)
-    status = pick(mix(qx, 31, 8, 100), V.cumulative(V.QUOTE_STATUSES), "EXPIRED")
-    return src.select(
-        F.format_string("QT-%07d-%d", k, F.col("j")).alias("quote_id"),
+    total_c = F.when(F.pmod(qx, F.lit(97)) == 0, F.lit(0)).otherwise(c("_parts_c") + c("_labor_c"))
+    return s2.select(
+        F.format_string("QT-%07d-%d", k, c("j")).alias("quote_id"),
         F.format_string("WO-%07d", k).alias("wo_id"),
-        F.format_string("CUST-%05d", F.col("o_custkey")).alias("customer_id"),
-        fmt_part(F.col("_part")).alias("part_id"),
-        quote_date.alias("quote_date"),
-        from_cents(parts_c).alias("parts_cost"),
-        from_cents(labor_c).alias("labor_cost"),
+        F.format_string("CUST-%05d", c("o_custkey")).alias("customer_id"),
+        fmt_part(c("_part")).alias("part_id"),
+        c("_qd").alias("quote_date"),
+        from_cents(c("_parts_c")).alias("parts_cost"),
+        from_cents(c("_labor_c")).alias("labor_cost"),
         from_cents(total_c).alias("total_amount"),
-        F.date_add(quote_date, (delay + slack).cast("int")).alias("expected_completion_date"),
-        avail.alias("availability_constraint"),
-        labor.alias("labor_constraint"),
-        F.when(F.pmod(qx, F.lit(9)) == 5, F.lower(status)).otherwise(status).alias("quote_status"),
-        ts_ntz(quote_date).alias("created_at"),
+        F.date_add(c("_qd"), (delay + slack).cast("int")).alias("expected_completion_date"),
+        c("_avail").alias("availability_constraint"),
+        c("_labor").alias("labor_constraint"),
+        F.when(F.pmod(qx, F.lit(9)) == 5, F.lower(c("_status"))).otherwise(c("_status")).alias("quote_status"),
+        ts_ntz(c("_qd")).alias("created_at"),
     )
 
 
