@@ -92,3 +92,16 @@ def days_before(day: str, n: Column) -> Column:
 
 def ts_ntz(x: Column) -> Column:
     return x.cast("timestamp_ntz")
+
+
+def zpad(x: str | Column, width: int) -> Column:
+    """``%0{width}d`` of a non-negative integer without ``String.format``:
+    zero-padded to ``width`` digits, longer numbers printed in full."""
+    v = c(x)
+    s = v.cast("string")
+    return F.when(v < F.lit(10 ** width), F.lpad(s, width, "0")).otherwise(s)
+
+
+def code(prefix: str, x: str | Column, width: int) -> Column:
+    """Identifier ``prefix`` + zero-padded number, e.g. ``PO-0000042``."""
+    return F.concat(F.lit(prefix), zpad(x, width))

@@ -28,8 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partsflow.functions.scalar import (cents, days_before, element, from_cents, idiv, mix, pick,
-                                        scale_half_up, ts_ntz)
+from partsflow.functions.scalar import (cents, code, days_before, element, from_cents, idiv, mix, pick,
+                                        scale_half_up, ts_ntz, zpad)
 from partsflow.plans import values as V
 
 SEQ_UPDATE = 1_000_000_000_000
@@ -39,18 +39,31 @@ SEQ_LATE = 500_000_000_000
 
 
 class Tables:
-    """Lazy access to the given parquet tables of one scale-factor folder."""
+    """Lazy access to the given parquet tables of one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A source that yields fewer scan splits than the session's default
+    parallelism (a small file with a single row group) is spread round-robin
+    over that many partitions, so the narrow feed pipelines use every core.
+    Large sources already have at least that many splits and are read as
+    they are -- the extra exchange only ever moves small inputs.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, spread: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+            if self.spread:
+                want = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < want:
+                    df = df.repartition(want)
+            self._cache[name] = df
         return self._cache[name]
 
     def n_parts(self) -> Column:
@@ -72,7 +85,7 @@ def lead_time_of(part_key: Column) -> Column:
 
 
 def fmt_part(part_key: Column) -> Column:
-    return F.format_string("PART-%05d", part_key)
+    return code("PART-", part_key, 5)
 
 
 def _subcategory(k: Column) -> Column:
@@ -129,7 +142,7 @@ def parts_cdc(t: Tables) -> DataFrame:
             .where(applies)
             .select(
                 fmt_part(k).alias("part_id"),
-                F.format_string("PW-%s-%05d", F.substring(cat, 1, 3), k).alias("part_number"),
+                F.concat(F.lit("PW-"), F.substring(cat, 1, 3), F.lit("-"), zpad(k, 5)).alias("part_number"),
                 F.when(F.pmod(k, F.lit(13)) == 5, F.concat(F.lit("  "), name, F.lit("  ")))
                 .otherwise(name).alias("part_name"),
                 category.alias("category"),
@@ -137,7 +150,7 @@ def parts_cdc(t: Tables) -> DataFrame:
                 F.when(price_null, F.lit(None)).otherwise(from_cents(price_c)).alias("piece_part_price"),
                 from_cents(cost_c).alias("standard_cost"),
                 lead_time_of(k).alias("lead_time_days"),
-                F.format_string("SUPP-%03d", F.pmod(k, F.lit(V.N_SUPPLIERS)) + F.lit(1)).alias("supplier_id"),
+                code("SUPP-", F.pmod(k, F.lit(V.N_SUPPLIERS)) + F.lit(1), 3).alias("supplier_id"),
                 F.when(F.pmod(k, F.lit(41)) == 0, F.lit(None).cast("string"))
                 .otherwise(pick(mix(k, 104729, 7, 100), V.cumulative(V.UNITS), "FT")).alias("unit_of_measure"),
                 F.when(F.pmod(k, F.lit(43)) == 0, F.lit(None).cast("boolean")).otherwise(F.lit(True)).alias("is_active"),
@@ -177,11 +190,11 @@ def customers_cdc(t: Tables) -> DataFrame:
     tier_out = F.when((kind == 0) & (F.pmod(k, F.lit(9)) == 2), F.lower(tier_now)).otherwise(tier_now)
     mult = pick(mix(k, 7919, 17, 100), [(b, m) for (b, _), m in
                                          zip(V.cumulative(V.CUSTOMER_TIERS), (10, 30, 70, 200))], 200)
-    address = F.when(kind == 2, F.format_string("%d New Address Blvd", mix(k, 131, 9, 9900) + F.lit(100))) \
-        .otherwise(F.format_string("%d %s", mix(k, 7919, 1, 9900) + F.lit(100),
+    address = F.when(kind == 2, F.concat((mix(k, 131, 9, 9900) + F.lit(100)).cast("string"), F.lit(" New Address Blvd"))) \
+        .otherwise(F.concat((mix(k, 7919, 1, 9900) + F.lit(100)).cast("string"), F.lit(" "),
                                    element(V.STREETS, F.pmod(k, F.lit(10)))))
-    zip_code = F.when(kind == 2, F.format_string("%05d", mix(k, 611, 5, 89999) + F.lit(10000))) \
-        .otherwise(F.format_string("%05d", mix(k, 104729, 3, 89999) + F.lit(10000)))
+    zip_code = F.when(kind == 2, zpad(mix(k, 611, 5, 89999) + F.lit(10000), 5)) \
+        .otherwise(zpad(mix(k, 104729, 3, 89999) + F.lit(10000), 5))
     seq = (k + F.lit(1) + F.when((kind == 1) | (kind == 2) | (kind == 4), F.lit(SEQ_UPDATE))
            .when(kind == 3, F.lit(SEQ_DELETE)).otherwise(F.lit(0)))
     op = (F.when(kind == 0, F.when(F.pmod(k, F.lit(89)) == 0, F.lit(None).cast("string")).otherwise(F.lit("INSERT")))
@@ -199,16 +212,16 @@ def customers_cdc(t: Tables) -> DataFrame:
     return (src.withColumn("kind", F.explode(F.array(*[F.lit(i) for i in range(5)])))
             .where(applies)
             .select(
-                F.format_string("CUST-%05d", k).alias("customer_id"),
+                code("CUST-", k, 5).alias("customer_id"),
                 F.when(F.pmod(k, F.lit(13)) == 5, F.concat(F.lit("  "), name, F.lit("  "))).otherwise(name)
                 .alias("customer_name"),
                 address.alias("address"),
                 F.when(F.pmod(k, F.lit(17)) == 4, F.concat(F.lit(" "), city, F.lit(" "))).otherwise(city).alias("city"),
-                F.when(F.pmod(k, F.lit(7)) == 1, F.format_string("s%02d", F.col("c_nationkey")))
-                .otherwise(F.format_string("S%02d", F.col("c_nationkey"))).alias("state"),
+                F.when(F.pmod(k, F.lit(7)) == 1, code("s", F.col("c_nationkey"), 2))
+                .otherwise(code("S", F.col("c_nationkey"), 2)).alias("state"),
                 zip_code.alias("zip"),
                 tier_out.alias("customer_tier"),
-                F.format_string("AM-%03d", F.pmod(k, F.lit(20))).alias("account_manager"),
+                code("AM-", F.pmod(k, F.lit(20)), 3).alias("account_manager"),
                 F.when(F.pmod(k, F.lit(11)) == 6, F.concat(F.lower(region), F.lit(" "))).otherwise(region)
                 .alias("region"),
                 from_cents(cents("c_acctbal") * mult).alias("annual_revenue"),
@@ -235,7 +248,7 @@ def demand_signals(t: Tables) -> DataFrame:
     fq = F.when(F.pmod(k, F.lit(53)) == 0, F.lit(0).cast("bigint")).otherwise(fq)
     actual = idiv(fq * (mix(k, 131, 7, 31) + F.lit(85)), 100)
     return t.events.select(
-        F.format_string("SIG-%07d", k).alias("signal_id"),
+        code("SIG-", k, 7).alias("signal_id"),
         fmt_part(signal_part_key(k, t.n_parts())).alias("part_id"),
         F.col("ts").cast("date").alias("forecast_date"),
         fq.alias("forecasted_qty"),
@@ -269,16 +282,16 @@ def purchase_orders(t: Tables) -> DataFrame:
     status = pick(mix(k, 104729, 1, 100), V.cumulative(V.PO_STATUSES), "CANCELLED")
     po_date = F.col("o_orderdate").cast("date")
     return src.select(
-        F.format_string("PO-%07d", k).alias("po_id"),
-        F.format_string("SIG-%07d", k).alias("signal_id"),
+        code("PO-", k, 7).alias("po_id"),
+        code("SIG-", k, 7).alias("signal_id"),
         fmt_part(F.col("_part")).alias("part_id"),
-        F.format_string("SUPP-%03d", F.pmod(k, F.lit(V.N_SUPPLIERS)) + F.lit(1)).alias("supplier_id"),
+        code("SUPP-", F.pmod(k, F.lit(V.N_SUPPLIERS)) + F.lit(1), 3).alias("supplier_id"),
         po_date.alias("po_date"),
         F.date_add(po_date, lead_time_of(F.col("_part")).cast("int")).alias("expected_receipt_date"),
         qty.alias("ordered_qty"),
         from_cents(scale_half_up(price, mix(k, 131, 3, 21) + F.lit(90))).alias("unit_price"),
         F.when(F.pmod(k, F.lit(9)) == 4, F.lower(status)).otherwise(status).alias("po_status"),
-        F.format_string("BUYER-%03d", F.pmod(k, F.lit(15))).alias("buyer_id"),
+        code("BUYER-", F.pmod(k, F.lit(15)), 3).alias("buyer_id"),
         F.col("o_orderdate").alias("created_at"),
     )
 
@@ -291,7 +304,8 @@ def _line_key() -> Column:
 
 
 def receiver_id_of() -> Column:
-    return F.format_string("RCV-%07d-%d-%d", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
+    return F.concat(code("RCV-", "l_orderkey", 7), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
+                    F.col("l_partkey").cast("string"))
 
 
 def receivers(t: Tables) -> DataFrame:
@@ -304,13 +318,13 @@ def receivers(t: Tables) -> DataFrame:
     delay = pick(mix(x, 7919, 3, 100), [(b, d) for b, d in V.cumulative(V.RECEIPT_DELAYS)], 14)
     return t.lineitem.select(
         receiver_id_of().alias("receiver_id"),
-        F.format_string("PO-%07d", F.col("l_orderkey")).alias("po_id"),
+        code("PO-", F.col("l_orderkey"), 7).alias("po_id"),
         fmt_part(F.col("l_partkey")).alias("part_id"),
         F.date_add(F.col("l_shipdate").cast("date"), delay).alias("received_date"),
         F.col("l_quantity").cast("bigint").alias("received_qty"),
         element(V.WAREHOUSES, F.pmod("l_suppkey", F.lit(5))).alias("warehouse_location"),
         status.alias("quality_status"),
-        F.format_string("INSP-%03d", F.pmod("l_suppkey", F.lit(10))).alias("inspector_id"),
+        code("INSP-", F.pmod("l_suppkey", F.lit(10)), 3).alias("inspector_id"),
         F.col("l_shipdate").alias("created_at"),
     )
 
@@ -325,11 +339,12 @@ def invoices(t: Tables) -> DataFrame:
     inv_date = F.date_add(F.col("l_shipdate").cast("date"), mix(x, 131, 1, 7).cast("int"))
     amount = scale_half_up(cents("l_extendedprice"), F.lit(100) - F.round(F.col("l_discount") * 100).cast("bigint"))
     return t.lineitem.select(
-        F.format_string("INV-%07d-%d-%d", F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"))
+        F.concat(code("INV-", "l_orderkey", 7), F.lit("-"), F.col("l_linenumber").cast("string"), F.lit("-"),
+                 F.col("l_partkey").cast("string"))
         .alias("invoice_id"),
-        F.format_string("PO-%07d", F.col("l_orderkey")).alias("po_id"),
+        code("PO-", F.col("l_orderkey"), 7).alias("po_id"),
         receiver_id_of().alias("receiver_id"),
-        F.format_string("SUPP-%03d", F.pmod("l_suppkey", F.lit(V.N_SUPPLIERS)) + F.lit(1)).alias("supplier_id"),
+        code("SUPP-", F.pmod("l_suppkey", F.lit(V.N_SUPPLIERS)) + F.lit(1), 3).alias("supplier_id"),
         inv_date.alias("invoice_date"),
         from_cents(amount).alias("invoice_amount"),
         status.alias("payment_status"),
@@ -381,17 +396,17 @@ def work_orders(t: Tables) -> DataFrame:
         F.pmod(k, n_tech).alias("_tech"), wo_part_key(k, t.n_parts()).alias("_part"))
     c = F.col
     return staged.select(
-        F.format_string("WO-%07d", k).alias("wo_id"),
+        code("WO-", k, 7).alias("wo_id"),
         F.when(F.pmod(k, F.lit(101)) == 0, F.lit(None).cast("string"))
-        .otherwise(F.format_string("CUST-%05d", c("o_custkey"))).alias("customer_id"),
+        .otherwise(code("CUST-", c("o_custkey"), 5)).alias("customer_id"),
         fmt_part(c("_part")).alias("part_id"),
-        F.format_string("TECH-%04d", c("_tech")).alias("technician_id"),
+        code("TECH-", c("_tech"), 4).alias("technician_id"),
         c("_created").alias("created_date"),
         c("_scheduled").alias("scheduled_date"),
         c("_type").alias("wo_type"),
         F.when(F.pmod(k, F.lit(9)) == 7, F.lower(c("_prio"))).otherwise(c("_prio")).alias("priority"),
         F.when(F.pmod(k, F.lit(9)) == 1, F.lower(c("_status"))).otherwise(c("_status")).alias("wo_status"),
-        F.format_string("Service work order #%d - %s", k, c("_type")).alias("description"),
+        F.concat(F.lit("Service work order #"), k.cast("string"), F.lit(" - "), c("_type")).alias("description"),
         c("r_name").alias("region"),
         ts_ntz(c("_created")).alias("created_at"),
     )
@@ -434,9 +449,9 @@ def customer_quotes(t: Tables) -> DataFrame:
     slack = mix(qx, 17, 3, V.SLACK_DAYS[1] - V.SLACK_DAYS[0] + 1) + F.lit(V.SLACK_DAYS[0])
     total_c = F.when(F.pmod(qx, F.lit(97)) == 0, F.lit(0)).otherwise(c("_parts_c") + c("_labor_c"))
     return s2.select(
-        F.format_string("QT-%07d-%d", k, c("j")).alias("quote_id"),
-        F.format_string("WO-%07d", k).alias("wo_id"),
-        F.format_string("CUST-%05d", c("o_custkey")).alias("customer_id"),
+        F.concat(code("QT-", k, 7), F.lit("-"), c("j").cast("string")).alias("quote_id"),
+        code("WO-", k, 7).alias("wo_id"),
+        code("CUST-", c("o_custkey"), 5).alias("customer_id"),
         fmt_part(c("_part")).alias("part_id"),
         c("_qd").alias("quote_date"),
         from_cents(c("_parts_c")).alias("parts_cost"),
@@ -459,11 +474,11 @@ def labor_schedules(t: Tables) -> DataFrame:
     avail = F.when(mix(k, 7919, 1, 10) < 8, F.lit(80)).when(mix(k, 7919, 1, 10) == 8, F.lit(60)).otherwise(F.lit(40))
     booked = F.when(F.pmod(k, F.lit(50)) == 0, avail + F.lit(15)).otherwise(idiv(avail * mix(k, 131, 7, 101), 100))
     avail = F.when(F.pmod(k, F.lit(97)) == 0, F.lit(-10)).otherwise(avail)
-    name = F.format_string("Technician TECH-%04d", u)
+    name = code("Technician TECH-", u, 4)
     region = element(V.REGIONS, F.pmod(u, F.lit(5)))
     return t.events.select(
-        F.format_string("SCHED-%07d", k).alias("schedule_id"),
-        F.format_string("TECH-%04d", u).alias("technician_id"),
+        code("SCHED-", k, 7).alias("schedule_id"),
+        code("TECH-", u, 4).alias("technician_id"),
         F.when(F.pmod(u, F.lit(7)) == 3, F.concat(F.lit("  "), name, F.lit("  "))).otherwise(name)
         .alias("technician_name"),
         F.col("ts").cast("date").alias("schedule_date"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from partsflow.plans.feeds import Tables, build_feed
 from partsflow.schemas import BATCHED_FEEDS, FEEDS
 from partsflow.session import scratch_dir
-from partsflow.sinks.tables import write_feed_batch, write_feed_files
+from partsflow.sinks.tables import write_feed_batches, write_feed_files
 
 _LANDINGS: dict[tuple[int, str], str] = {}
 
@@ -28,10 +28,11 @@ def write_landing(tables: Tables, root: str, batches: tuple[int, ...] | None = N
         df = build_feed(tables, folder)
         path = f"{root.rstrip('/')}/{folder}"
         if folder in BATCHED_FEEDS:
-            wanted = batches or (1, 2, 3)
-            for b in wanted:
-                part = df.where(F.col("batch") == b).drop("batch")
-                write_feed_batch(part, path, b, n_files=n_files)
+            if batches is not None:
+                df = df.where(F.col("batch").isin(*batches))
+            # One pass; dynamic partition overwrite replaces only the batch
+            # folders present in this write (e.g. batch=2 leaves batch=1).
+            write_feed_batches(df, path, n_files=n_files)
         elif batches is None or 1 in batches:
             write_feed_files(df, path, n_files=n_files)
     return root

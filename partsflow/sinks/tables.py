@@ -44,6 +44,16 @@ def write_feed_batch(df: DataFrame, path: str, batch: int, n_files: int = 8) ->
     df.repartition(n_files).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
+def write_feed_batches(df: DataFrame, path: str, n_files: int = 8, batch_col: str = "batch") -> None:
+    """Landing writer for change feeds: ``path/batch=N`` folders in one pass.
+
+    Requires ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by the
+    session helpers) so that only the batches present are replaced.
+    """
+    (df.repartition(n_files, batch_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(path))
+
+
 def register_table(spark: SparkSession, meta: TableMeta, path: str) -> None:
     """Catalog entry with comment and properties over an existing Parquet path."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(meta.properties.items()))
