@@ -50,7 +50,8 @@ def write_feed_batches(df: DataFrame, path: str, n_files: int = 8, batch_col: st
     Requires ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by the
     session helpers) so that only the batches present are replaced.
     """
-    (df.repartition(n_files, batch_col).write.mode("overwrite")
+    # Round-robin, not hashed on the batch: one batch holds most rows.
+    (df.repartition(n_files).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(path))
 
 
