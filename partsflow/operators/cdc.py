@@ -83,26 +83,46 @@ def collapse_events(df: DataFrame, spec: CdcSpec) -> DataFrame:
                       *[F.col(f"__e.{c}").alias(c) for c in payload])
 
 
-def scd1(df: DataFrame, spec: CdcSpec) -> DataFrame:
-    """Current state per key (type 1)."""
+def scd1_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    """Latest event per key, deletes kept as tombstones (``__del``).
+
+    This is the stored form of a type-1 dimension: when every key of a
+    storage bucket is deleted the bucket still has rows, so an overwrite of
+    that bucket removes the old state.
+    """
     payload = _payload(df, spec)
     latest = (df.where(F.col(spec.sequence_by).isNotNull())
               .groupBy(*spec.keys)
               .agg(F.max(_ordering_struct(df, spec, with_sequence=True)).alias("__e")))
-    out = latest.where(~F.col("__e.__del")).select(
-        *spec.keys, F.col("__e.__seq").alias(spec.sequence_by), *[F.col(f"__e.{c}").alias(c) for c in payload])
-    return out.select(*_output_columns(df, spec))
+    return latest.select(*spec.keys, F.col("__e.__seq").alias(spec.sequence_by), F.col("__e.__del").alias("__del"),
+                         *[F.col(f"__e.{c}").alias(c) for c in payload])
 
 
-def scd2(df: DataFrame, spec: CdcSpec) -> DataFrame:
-    """Full version history per key (type 2)."""
+def scd1(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    """Current state per key (type 1)."""
+    return scd1_state(df, spec).where(~F.col("__del")).select(*_output_columns(df, spec))
+
+
+def scd2_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    """Every collapsed event with ``__START_AT``/``__END_AT`` and ``__del``
+    (delete events kept as markers; see ``scd1_state`` for why)."""
     ev = collapse_events(df, spec)
     ev = next_position(ev, spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts)
-    return (ev.where(~F.col("__del"))
-            .withColumn(START_AT, F.col(spec.sequence_by))
+    return ev.withColumn(START_AT, F.col(spec.sequence_by))
+
+
+def scd2(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    """Full version history per key (type 2)."""
+    return (scd2_state(df, spec).where(~F.col("__del"))
             .select(*_output_columns(df, spec), START_AT, END_AT))
 
 
+def dim_columns(source_columns: Sequence[str], spec: CdcSpec, scd_type: int) -> list[str]:
+    """Output columns of a dimension built from events with ``source_columns``."""
+    cols = [c for c in source_columns if c not in spec.except_columns]
+    return cols + ([START_AT, END_AT] if scd_type == 2 else [])
+
+
 def as_of(probes: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
           columns: Sequence[str], prefix: str = "", shifts: Sequence[int] = DEFAULT_SHIFTS) -> DataFrame:
     """Left as-of join: attach to every probe row the type-2 version of its key

@@ -38,12 +38,12 @@ _FEED_QUERIES = {
 for _q, _folder in _FEED_QUERIES.items():
     _reg(_q, lambda f, folder=_folder: f.feed(folder), compose.stage(f"feed_{_folder}"))
 
-for _q, _folder, _cond_spark, _cond_sql in (
-        ("feed_parts", "parts_cdc", F.col("batch") == 1, "batch = 1"),
-        ("feed_part_updates", "parts_cdc", F.col("batch") > 1, "batch > 1"),
-        ("feed_customers", "customers_cdc", F.col("batch") == 1, "batch = 1"),
-        ("feed_customer_updates", "customers_cdc", F.col("batch") > 1, "batch > 1")):
-    _reg(_q, lambda f, folder=_folder, cond=_cond_spark: f.feed(folder).where(cond),
+for _q, _folder, _cond_sql in (
+        ("feed_parts", "parts_cdc", "batch = 1"),
+        ("feed_part_updates", "parts_cdc", "batch > 1"),
+        ("feed_customers", "customers_cdc", "batch = 1"),
+        ("feed_customer_updates", "customers_cdc", "batch > 1")):
+    _reg(_q, lambda f, folder=_folder, cond=_cond_sql: f.feed(folder).where(F.expr(cond)),
          compose.statement(f"SELECT * FROM feed_{_folder} WHERE {_cond_sql}", [f"feed_{_folder}"]))
 
 # ---- row-validity filters (P1-P9) -------------------------------------------
