@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from partsflow.operators.cdc import CdcSpec, scd1, scd2
 from partsflow.operators.clean import clean, validity_filter
+from partsflow.operators.joins import DEFAULT_CHUNK
 from partsflow.plans import facts as FX
 from partsflow.plans.feeds import Tables, build_feed
 from partsflow.plans.silver import SILVER
@@ -49,8 +50,9 @@ class Flow:
     STORED_PREFIXES = ("silver_", "dim_")
 
     def __init__(self, tables: Tables, overrides: dict[str, DataFrame] | None = None,
-                 store: str | None = None):
+                 store: str | None = None, join_chunk: int = DEFAULT_CHUNK):
         self.t = tables
+        self.join_chunk = join_chunk
         self.spark = tables.spark
         self.store = store.rstrip("/") if store else None
         self._memo: dict[str, DataFrame] = dict(overrides or {})
@@ -86,12 +88,13 @@ class Flow:
         if name == "fact_demand_fulfillment":
             return self._get(name, lambda: FX.fact_demand_fulfillment(
                 self.silver("silver_purchase_orders"), self.silver("silver_demand_signals"),
-                self.silver("silver_receivers"), self.silver("silver_invoices"), self.dim("dim_part_type1")))
+                self.silver("silver_receivers"), self.silver("silver_invoices"), self.dim("dim_part_type1"),
+                self.join_chunk))
         if name == "fact_work_order_completion":
             return self._get(name, lambda: FX.fact_work_order_completion(
                 self.silver("silver_work_orders"), self.silver("silver_customer_quotes"),
                 self.silver("silver_labor_schedules"), self.dim("dim_part_type1"),
-                self.dim("dim_customer_type1")))
+                self.dim("dim_customer_type1"), self.join_chunk))
         raise KeyError(name)
 
 

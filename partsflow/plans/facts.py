@@ -1,19 +1,23 @@
 """The two wide facts: chains of left equi-joins from one root table.
 
-Join strategy is left to Catalyst + AQE:
+Join strategy:
 
 * every join is an equi-join, so it plans as a hash or sort-merge join (never
   a nested loop);
-* the dimension sides (one row per key) are broadcast only when Spark's size
-  check passes (``autoBroadcastJoinThreshold`` statically, AQE's measured
-  size at run time); beyond it they sort-merge join;
+* dimension sides (one row per key) use a plain left join: Spark broadcasts
+  them only when its size check passes (``autoBroadcastJoinThreshold``
+  statically, AQE's measured size at run time), else sort-merge joins;
+* the transactional sides (signals, receipts, invoices, quotes, schedules)
+  use ``operators.joins.left_join``, which splits a right-side key that
+  holds more than ``chunk`` rows over several tasks; AQE's skew handling
+  splits hot keys on the left side (e.g. the receipts of one purchase order
+  feeding the invoice join), so the receipt x invoice product of one order
+  is spread, not computed by one task;
 * the two ``po_id`` joins are adjacent, so one exchange on ``po_id`` serves
-  both (the receipt join output is already partitioned on ``po_id``);
-* receipts x invoices of one purchase order fan out by design (the fact's
-  grain is PO x receipt x invoice).  A purchase order with many receipts and
-  invoices is a skewed left-side partition that AQE's skew-join handling
-  splits across tasks (left outer joins may split their left side), so the
-  product of a hot key is spread instead of computed by one task.
+  both when they sort-merge.
+
+Columns of each side are prefixed before joining, so every reference is by
+an unambiguous name.
 """
 
 from __future__ import annotations
@@ -21,54 +25,74 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partsflow.operators.joins import DEFAULT_CHUNK, left_join
+
 col = F.col
 
 
+def _prefixed(df: DataFrame, p: str) -> DataFrame:
+    return df.select(*[col(c).alias(f"{p}__{c}") for c in df.columns])
+
+
+def _dim_join(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> DataFrame:
+    return left.join(dim, left[left_key] == dim[dim_key], "left")
+
+
 def fact_demand_fulfillment(po: DataFrame, ds: DataFrame, r: DataFrame, inv: DataFrame,
-                            dim_part: DataFrame) -> DataFrame:
-    po, ds, r, inv, dp = po.alias("po"), ds.alias("ds"), r.alias("r"), inv.alias("inv"), dim_part.alias("dp")
-    return (
-        po.join(ds, col("ds.signal_id") == col("po.signal_id"), "left")
-        .join(r, col("r.po_id") == col("po.po_id"), "left")
-        .join(inv, col("inv.po_id") == col("po.po_id"), "left")
-        .join(dp, col("dp.part_id") == col("po.part_id"), "left")
-        .select(
-            col("ds.signal_id"), col("po.po_id"), col("r.receiver_id"), col("inv.invoice_id"),
-            col("po.part_id"), col("po.supplier_id"),
-            col("ds.forecast_date"), col("ds.forecasted_qty"), col("ds.actual_qty"), col("ds.forecast_variance"),
-            col("ds.signal_type"), col("ds.confidence_score"), col("ds.region").alias("demand_region"),
-            col("po.po_date"), col("po.expected_receipt_date"), col("po.ordered_qty"), col("po.unit_price"),
-            col("po.po_total_value"), col("po.po_status"),
-            col("r.received_date"), col("r.received_qty"), col("r.warehouse_location"), col("r.quality_status"),
-            F.datediff(col("r.received_date"), col("po.expected_receipt_date")).alias("receipt_variance_days"),
-            col("inv.invoice_date"), col("inv.invoice_amount"), col("inv.payment_status"),
-            col("inv.payment_date"), col("inv.days_to_payment"),
-            col("dp.part_name"), col("dp.category"), col("dp.subcategory"), col("dp.lead_time_days"),
-        )
+                            dim_part: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    x = _prefixed(po, "po")
+    x = left_join(x, _prefixed(ds, "ds"), [("po__signal_id", "ds__signal_id")], chunk, ["ds__signal_id"])
+    x = left_join(x, _prefixed(r, "r"), [("po__po_id", "r__po_id")], chunk, ["r__receiver_id"])
+    x = left_join(x, _prefixed(inv, "inv"), [("po__po_id", "inv__po_id")], chunk, ["inv__invoice_id"])
+    x = _dim_join(x, _prefixed(dim_part, "dp"), "po__part_id", "dp__part_id")
+    return x.select(
+        col("ds__signal_id").alias("signal_id"), col("po__po_id").alias("po_id"),
+        col("r__receiver_id").alias("receiver_id"), col("inv__invoice_id").alias("invoice_id"),
+        col("po__part_id").alias("part_id"), col("po__supplier_id").alias("supplier_id"),
+        col("ds__forecast_date").alias("forecast_date"), col("ds__forecasted_qty").alias("forecasted_qty"),
+        col("ds__actual_qty").alias("actual_qty"), col("ds__forecast_variance").alias("forecast_variance"),
+        col("ds__signal_type").alias("signal_type"), col("ds__confidence_score").alias("confidence_score"),
+        col("ds__region").alias("demand_region"),
+        col("po__po_date").alias("po_date"), col("po__expected_receipt_date").alias("expected_receipt_date"),
+        col("po__ordered_qty").alias("ordered_qty"), col("po__unit_price").alias("unit_price"),
+        col("po__po_total_value").alias("po_total_value"), col("po__po_status").alias("po_status"),
+        col("r__received_date").alias("received_date"), col("r__received_qty").alias("received_qty"),
+        col("r__warehouse_location").alias("warehouse_location"), col("r__quality_status").alias("quality_status"),
+        F.datediff(col("r__received_date"), col("po__expected_receipt_date")).alias("receipt_variance_days"),
+        col("inv__invoice_date").alias("invoice_date"), col("inv__invoice_amount").alias("invoice_amount"),
+        col("inv__payment_status").alias("payment_status"), col("inv__payment_date").alias("payment_date"),
+        col("inv__days_to_payment").alias("days_to_payment"),
+        col("dp__part_name").alias("part_name"), col("dp__category").alias("category"),
+        col("dp__subcategory").alias("subcategory"), col("dp__lead_time_days").alias("lead_time_days"),
     )
 
 
 def fact_work_order_completion(wo: DataFrame, q: DataFrame, ls: DataFrame, dim_part: DataFrame,
-                               dim_customer: DataFrame) -> DataFrame:
-    wo, q, ls = wo.alias("wo"), q.alias("q"), ls.alias("ls")
-    dp, dc = dim_part.alias("dp"), dim_customer.alias("dc")
-    return (
-        wo.join(q, col("q.wo_id") == col("wo.wo_id"), "left")
-        .join(ls, (col("ls.technician_id") == col("wo.technician_id"))
-              & (col("ls.schedule_date") == col("wo.scheduled_date")), "left")
-        .join(dp, col("dp.part_id") == col("wo.part_id"), "left")
-        .join(dc, col("dc.customer_id") == col("wo.customer_id"), "left")
-        .select(
-            col("wo.wo_id"), col("q.quote_id"), col("wo.customer_id"), col("wo.part_id"), col("wo.technician_id"),
-            col("wo.created_date"), col("wo.scheduled_date"), col("wo.wo_type"), col("wo.priority"),
-            col("wo.wo_status"), col("wo.region"),
-            col("q.quote_date"), col("q.parts_cost"), col("q.labor_cost"), col("q.total_amount"),
-            col("q.expected_completion_date"), col("q.days_to_completion"), col("q.quote_status"),
-            col("q.availability_constraint"), col("q.labor_constraint"),
-            col("ls.available_hours"), col("ls.booked_hours"), col("ls.remaining_hours"), col("ls.skill_level"),
-            col("dp.part_name"), col("dp.category"), col("dp.piece_part_price").alias("current_piece_part_price"),
-            col("dp.lead_time_days"),
-            col("dc.customer_name"), col("dc.customer_tier"), col("dc.region").alias("customer_region"),
-            col("dc.annual_revenue"),
-        )
+                               dim_customer: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    x = _prefixed(wo, "wo")
+    x = left_join(x, _prefixed(q, "q"), [("wo__wo_id", "q__wo_id")], chunk, ["q__quote_id"])
+    x = left_join(x, _prefixed(ls, "ls"), [("wo__technician_id", "ls__technician_id"),
+                                           ("wo__scheduled_date", "ls__schedule_date")], chunk, ["ls__schedule_id"])
+    x = _dim_join(x, _prefixed(dim_part, "dp"), "wo__part_id", "dp__part_id")
+    x = _dim_join(x, _prefixed(dim_customer, "dc"), "wo__customer_id", "dc__customer_id")
+    return x.select(
+        col("wo__wo_id").alias("wo_id"), col("q__quote_id").alias("quote_id"),
+        col("wo__customer_id").alias("customer_id"), col("wo__part_id").alias("part_id"),
+        col("wo__technician_id").alias("technician_id"),
+        col("wo__created_date").alias("created_date"), col("wo__scheduled_date").alias("scheduled_date"),
+        col("wo__wo_type").alias("wo_type"), col("wo__priority").alias("priority"),
+        col("wo__wo_status").alias("wo_status"), col("wo__region").alias("region"),
+        col("q__quote_date").alias("quote_date"), col("q__parts_cost").alias("parts_cost"),
+        col("q__labor_cost").alias("labor_cost"), col("q__total_amount").alias("total_amount"),
+        col("q__expected_completion_date").alias("expected_completion_date"),
+        col("q__days_to_completion").alias("days_to_completion"), col("q__quote_status").alias("quote_status"),
+        col("q__availability_constraint").alias("availability_constraint"),
+        col("q__labor_constraint").alias("labor_constraint"),
+        col("ls__available_hours").alias("available_hours"), col("ls__booked_hours").alias("booked_hours"),
+        col("ls__remaining_hours").alias("remaining_hours"), col("ls__skill_level").alias("skill_level"),
+        col("dp__part_name").alias("part_name"), col("dp__category").alias("category"),
+        col("dp__piece_part_price").alias("current_piece_part_price"),
+        col("dp__lead_time_days").alias("lead_time_days"),
+        col("dc__customer_name").alias("customer_name"), col("dc__customer_tier").alias("customer_tier"),
+        col("dc__region").alias("customer_region"), col("dc__annual_revenue").alias("annual_revenue"),
     )

@@ -146,3 +146,16 @@ def test_as_of_join(spark):
     got = Counter((r.k, r.s, r.price) for r in as_of(probes, d2, ["k"], "s", ["price"]).collect())
     assert got == Counter([("A", 0, None), ("A", 3, 1.0), ("A", 4, 2.5), ("A", 4, 2.5), ("A", 100, 3.0),
                            ("B", 5, 2.0), ("B", 6, None), ("C", 7, None), ("C", 8, 10.0), ("Z", 1, None)])
+
+
+def test_skew_safe_left_join_equals_plain_left_join(spark):
+    from partsflow.operators.joins import left_join
+    rnd = random.Random(3)
+    left = spark.createDataFrame([(k, f"l{k}") for k in list(range(12)) + [None]], "lk int, lv string")
+    # key 0 is hot on the right (a third of the rows), key 1 warm, 11/None absent
+    rk = [0] * 60 + [1] * 9 + [rnd.randint(2, 10) for _ in range(50)] + [None, 99]
+    right = spark.createDataFrame([(k, i) for i, k in enumerate(rk)], "rk int, rv int")
+    plain = Counter(tuple(r) for r in left.join(right, left.lk == right.rk, "left").collect())
+    for chunk in (1, 4, 1000):
+        got = Counter(tuple(r) for r in left_join(left, right, [("lk", "rk")], chunk=chunk).collect())
+        assert got == plain, chunk
