@@ -105,3 +105,9 @@ def zpad(x: str | Column, width: int) -> Column:
 def code(prefix: str, x: str | Column, width: int) -> Column:
     """Identifier ``prefix`` + zero-padded number, e.g. ``PO-0000042``."""
     return F.concat(F.lit(prefix), zpad(x, width))
+
+
+def clamped_lognormal(mu: float, sigma: float, low: float, high: float, seed: int) -> Column:
+    """Log-normal draw ``exp(mu + sigma * N(0,1))`` clipped to [low, high]
+    (per-partition seeded, like every Spark random column)."""
+    return F.least(F.greatest(F.exp(F.lit(mu) + F.lit(sigma) * F.randn(seed)), F.lit(low)), F.lit(high))

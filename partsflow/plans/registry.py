@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from partsflow.oracle import compose
 from partsflow.oracle import sql as S
+from partsflow.operators import sampling as SM
 from partsflow.plans import analytics as A
 from partsflow.plans.batch import DIMENSIONS, PART_CDC, Flow
 from partsflow.plans.silver import SILVER
@@ -131,4 +132,30 @@ def _rule_oracle() -> str:
 _reg("rule_completion_date",
      lambda f: A.completion_rule(f.silver("silver_customer_quotes"), f.dim("dim_part_type1")), _rule_oracle())
 
+# ---- sampling (G15, G16) -----------------------------------------------------
+N_PART_UPDATES = 80  # parts picked for a price revision
+_KEY = "CAST(substr(part_id, 6) AS BIGINT)"
+
+
+def _sample_parts(f: Flow) -> DataFrame:
+    parts = f.dim("dim_part_type1").select("part_id", "part_name", "piece_part_price")
+    return SM.sample_without_replacement(parts, N_PART_UPDATES, F.expr(_KEY), seed=99)
+
+
+def _sample_pos(f: Flow) -> DataFrame:
+    pos = f.silver("silver_purchase_orders").select("po_id", "part_id", "expected_receipt_date", "ordered_qty")
+    n = f.silver("silver_receivers").count()  # one scalar: the size of the draw
+    return SM.sample_with_replacement(pos, n, ["po_id"], seed=46)
+
+
+_reg("sample_part_updates", _sample_parts, compose.statement(f"""
+SELECT part_id, part_name, piece_part_price FROM dim_part_type1
+ORDER BY ({_KEY} * {SM.MIX} + 99) % {SM.MODULUS}, {_KEY} LIMIT {N_PART_UPDATES}""", ["dim_part_type1"]))
+_reg("sample_po_with_replacement", _sample_pos, compose.statement(f"""
+SELECT d.draw, p.po_id, p.part_id, p.expected_receipt_date, p.ordered_qty
+FROM (SELECT unnest(range((SELECT count(*) FROM silver_receivers))) AS draw) d
+JOIN (SELECT *, row_number() OVER (ORDER BY po_id) - 1 AS idx FROM silver_purchase_orders) p
+  ON p.idx = (d.draw * {SM.MIX} + 46) % (SELECT count(*) FROM silver_purchase_orders)""",
+    ["silver_receivers", "silver_purchase_orders"]))
+
 BRONZE_QUERIES = {FEEDS[folder].bronze.name: folder for folder in FEEDS}

@@ -80,3 +80,19 @@ def stream_feed(spark: SparkSession, root: str, folder: str,
 def typed_feed(df: DataFrame, folder: str) -> DataFrame:
     """Apply the declared types to an in-memory feed (no file lineage)."""
     return df.select(*declared_projection(df.schema, FEEDS[folder]))
+
+
+def raw_data_path(spark: SparkSession, root: str | None = None) -> str:
+    """Landing root: the explicit argument, else the ``raw_data_path`` setting."""
+    if root:
+        return root
+    conf = spark.conf.get("raw_data_path", None)
+    if not conf:
+        raise ValueError("landing root not given and raw_data_path is not set")
+    return conf
+
+
+def read_batch(spark: SparkSession, root: str, folder: str, batch: int, metadata: bool = True) -> DataFrame:
+    """Static read of one load batch of a change feed (``<feed>/batch=N``);
+    the filter on the partition column prunes the other folders."""
+    return read_feed(spark, root, folder, metadata).where(F.col("batch") == batch)

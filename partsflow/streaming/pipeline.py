@@ -34,8 +34,8 @@ from partsflow.plans.batch import DIMENSIONS
 from partsflow.plans.silver import SILVER
 from partsflow.schemas import FEEDS, SILVER_SOURCE, TABLES
 from partsflow.session import apply_engine_conf
-from partsflow.sinks.tables import write_table
-from partsflow.sources.files import stream_feed
+from partsflow.sinks.tables import register_table, write_table
+from partsflow.sources.files import raw_data_path, stream_feed
 
 BUCKET = "__bucket"
 BATCH_ID = "__batch_id"
@@ -167,14 +167,33 @@ def run_facts(spark: SparkSession, layout: Layout) -> None:
     write_table(f2, layout.table("fact_work_order_completion"), TABLES["fact_work_order_completion"])
 
 
-def run_pipeline(spark: SparkSession, landing_root: str, root: str, n_buckets: int = 64) -> Layout:
-    """One triggered update of the whole flow, in fixed stage order."""
+def register_tables(spark: SparkSession, layout: Layout) -> list[str]:
+    """Catalog tables (comment + properties) over the silver tables and facts
+    (bronze, silver and facts are plain Parquet folders; dimensions carry
+    storage columns and are read with ``read_dimension``)."""
+    names = [FEEDS[f].bronze.name for f in FEEDS] + list(SILVER) + [
+        "fact_demand_fulfillment", "fact_work_order_completion"]
+    metas = {**{FEEDS[f].bronze.name: FEEDS[f].bronze for f in FEEDS}, **TABLES}
+    for name in names:
+        register_table(spark, metas[name], layout.table(name))
+    return names
+
+
+def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buckets: int = 64,
+                 register: bool = False) -> Layout:
+    """One triggered update of the whole flow, in fixed stage order.
+
+    ``landing_root`` defaults to the ``raw_data_path`` setting.
+    """
     apply_engine_conf(spark)
+    landing_root = raw_data_path(spark, landing_root)
     layout = Layout(root)
     run_bronze(spark, landing_root, layout)
     run_silver(spark, layout)
     run_dimensions(spark, layout, n_buckets)
     run_facts(spark, layout)
+    if register:
+        register_tables(spark, layout)
     return layout
 
 

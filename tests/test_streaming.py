@@ -46,6 +46,10 @@ def test_rerun_without_new_files_is_a_no_op(spark, scratch):
     layout = run_pipeline(spark, landing, f"{scratch}/pipe", n_buckets=4)
     before = rows(read_dimension(spark, layout.table("dim_customer_type2")))
     n_bronze = spark.read.parquet(layout.table("bronze_parts")).count()
-    run_pipeline(spark, landing, f"{scratch}/pipe", n_buckets=4)
+    spark.conf.set("raw_data_path", landing)  # landing root from configuration
+    run_pipeline(spark, None, f"{scratch}/pipe", n_buckets=4, register=True)
+    spark.conf.unset("raw_data_path")
     assert rows(read_dimension(spark, layout.table("dim_customer_type2"))) == before
+    assert spark.table("fact_work_order_completion").count() == \
+        spark.read.parquet(layout.table("fact_work_order_completion")).count()
     assert spark.read.parquet(layout.table("bronze_parts")).count() == n_bronze
