@@ -7,11 +7,12 @@ single task.  The functions here give the same answers with bounded groups:
 positions are split into buckets of ``2**s0`` consecutive values; inside a
 bucket an ordinary window does the work; what a row needs from *earlier*
 buckets is the running maximum of per-bucket totals, which is the same
-problem one level up (buckets of buckets, ``2**s1`` ...).  After the last
-shift the remaining bucket ids of a key span at most ``2**(64 - s_last)``
-values, so the final per-key window is bounded too.  With the default shifts
-``(16, 32, 48)`` no window partition holds more than 65,536 distinct
-positions, whatever the skew.  Bucket summaries are much smaller than the
+problem one level up (buckets of buckets, ``2**(s1 - s0)`` ...).  After the
+last shift the remaining bucket ids of a key span at most
+``2**(64 - s_last)`` values, so the final per-key window is bounded too.
+With the default shifts ``(21, 42)`` no window partition holds more than
+2**21 (level windows) or 2**22 (final window) distinct positions -- a few
+million rows, one task's worth -- whatever the skew.  Bucket summaries are much smaller than the
 input, and every step is a plain window / partial aggregate / equi-join that
 Spark distributes.
 
@@ -27,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SHIFTS = (16, 32, 48)
+DEFAULT_SHIFTS = (21, 42)
 
 
 def _frame(keys: Sequence[str], pos: str, inclusive: bool, extra: Sequence[str] = ()):

@@ -10,6 +10,8 @@ written tables instead of recomputing them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from partsflow.operators.cdc import CdcSpec, scd1, scd2
@@ -20,7 +22,7 @@ from partsflow.plans.feeds import Tables, build_feed
 from partsflow.plans.silver import SILVER
 from partsflow.schemas import SILVER_SOURCE, TABLES
 from partsflow.sinks.tables import write_table
-from partsflow.sources.files import typed_feed
+from partsflow.sources.files import read_feed, typed_feed
 
 PART_CDC = CdcSpec(keys=("part_id",))
 CUSTOMER_CDC = CdcSpec(keys=("customer_id",))
@@ -50,9 +52,11 @@ class Flow:
     STORED_PREFIXES = ("silver_", "dim_")
 
     def __init__(self, tables: Tables, overrides: dict[str, DataFrame] | None = None,
-                 store: str | None = None, join_chunk: int = DEFAULT_CHUNK):
+                 store: str | None = None, join_chunk: int = DEFAULT_CHUNK,
+                 landing: Callable[[], str] | None = None):
         self.t = tables
         self.join_chunk = join_chunk
+        self.landing = landing
         self.spark = tables.spark
         self.store = store.rstrip("/") if store else None
         self._memo: dict[str, DataFrame] = dict(overrides or {})
@@ -71,6 +75,10 @@ class Flow:
         return self._get(f"feed:{folder}", lambda: build_feed(self.t, folder))
 
     def typed(self, folder: str) -> DataFrame:
+        """The bronze payload: read back from the landing folders when the flow
+        has them (as silver reads bronze), else the feed with declared types."""
+        if self.landing is not None:
+            return self._get(f"typed:{folder}", lambda: read_feed(self.spark, self.landing(), folder, metadata=False))
         return self._get(f"typed:{folder}", lambda: typed_feed(self.feed(folder), folder))
 
     def valid(self, silver_name: str) -> DataFrame:

@@ -20,10 +20,11 @@ _LANDINGS: dict[tuple[int, str], str] = {}
 
 
 def write_landing(tables: Tables, root: str, batches: tuple[int, ...] | None = None,
-                  n_files: int = 8) -> str:
+                  n_files: int | None = None) -> str:
     """Write all feeds below ``root``.  ``batches`` limits the change feeds to
     the given load batches (None = all); transactional feeds are written only
-    with the first batch."""
+    with the first batch.  ``n_files`` fixes the file count per folder; None
+    keeps one file per task, which is what a large input needs."""
     for folder in FEEDS:
         df = build_feed(tables, folder)
         path = f"{root.rstrip('/')}/{folder}"

@@ -34,9 +34,9 @@ def write_table(df: DataFrame, path: str, meta: TableMeta | None = None, mode: s
     writer.parquet(path)
 
 
-def write_feed_files(df: DataFrame, path: str, n_files: int = 16) -> None:
-    """Landing writer: ``n_files`` files, replacing the folder."""
-    df.repartition(n_files).write.mode("overwrite").parquet(path)
+def write_feed_files(df: DataFrame, path: str, n_files: int | None = 16) -> None:
+    """Landing writer: ``n_files`` files (None: one per task), replacing the folder."""
+    (df.repartition(n_files) if n_files else df).write.mode("overwrite").parquet(path)
 
 
 def write_feed_batch(df: DataFrame, path: str, batch: int, n_files: int = 8) -> None:
@@ -44,14 +44,14 @@ def write_feed_batch(df: DataFrame, path: str, batch: int, n_files: int = 8) ->
     df.repartition(n_files).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
-def write_feed_batches(df: DataFrame, path: str, n_files: int = 8, batch_col: str = "batch") -> None:
+def write_feed_batches(df: DataFrame, path: str, n_files: int | None = 8, batch_col: str = "batch") -> None:
     """Landing writer for change feeds: ``path/batch=N`` folders in one pass.
 
     Requires ``spark.sql.sources.partitionOverwriteMode=dynamic`` (set by the
     session helpers) so that only the batches present are replaced.
     """
     # Round-robin, not hashed on the batch: one batch holds most rows.
-    (df.repartition(n_files).write.mode("overwrite")
+    ((df.repartition(n_files) if n_files else df).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(path))
 
 
