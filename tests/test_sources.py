@@ -78,3 +78,13 @@ def test_clamped_lognormal_bounds(spark):
     v = spark.range(5000).select(clamped_lognormal(4.5, 1.0, 5.0, 2500.0, seed=42).alias("p"))
     r = v.agg(F.min("p").alias("lo"), F.max("p").alias("hi")).first()
     assert r.lo >= 5.0 and r.hi <= 2500.0
+
+
+def test_ansi_overflow_on_declared_cast_fails_loudly(spark):
+    import pytest
+    from pyspark.errors import ArithmeticException
+
+    from partsflow.sources.files import typed_feed
+    df = spark.createDataFrame([("p", 1 << 40)], "part_id string, lead_time_days bigint")
+    with pytest.raises(ArithmeticException):
+        typed_feed(df, "parts_cdc").collect()

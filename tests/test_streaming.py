@@ -53,3 +53,41 @@ def test_rerun_without_new_files_is_a_no_op(spark, scratch):
     assert spark.table("fact_work_order_completion").count() == \
         spark.read.parquet(layout.table("fact_work_order_completion")).count()
     assert spark.read.parquet(layout.table("bronze_parts")).count() == n_bronze
+
+
+def test_cdc_apply_over_random_micro_batches_with_replay(spark, scratch):
+    import random
+
+    from test_cdc import SCHEMA, brute_scd
+
+    from partsflow.operators.cdc import END_AT, START_AT, CdcSpec
+    from partsflow.streaming.pipeline import CdcApply, Layout
+
+    rnd = random.Random(21)
+    rows_ = [(rnd.choice("ABCDEFGHIJ"), float(rnd.randint(1, 9)), rnd.choice(["INSERT", "UPDATE", "DELETE"]),
+              rnd.randint(1, 80)) for _ in range(200)]
+    rnd.shuffle(rows_)
+    cuts = sorted(rnd.sample(range(1, len(rows_)), 3))
+    parts = [rows_[a:b] for a, b in zip([0] + cuts, cuts + [len(rows_)])]
+    layout = Layout(scratch)
+    apply = CdcApply(spark, layout, "ev", CdcSpec(keys=["k"]), {"d1": 1, "d2": 2}, n_buckets=3)
+    for i, chunk in enumerate(parts):
+        apply(spark.createDataFrame([(*r, None) for r in chunk], SCHEMA), i)
+    apply(spark.createDataFrame([(*r, None) for r in parts[1]], SCHEMA), 1)  # replayed micro-batch
+    t1, t2 = brute_scd(rows_)
+    d1 = read_dimension(spark, layout.table("d1"))
+    d2 = read_dimension(spark, layout.table("d2"))
+    assert {(r.k, r.price) for r in d1.collect()} == t1
+    assert {(r.k, r.price, r[START_AT], r[END_AT]) for r in d2.collect()} == t2
+
+
+def test_batch_one_type1_equals_type2(spark, scratch):
+    from partsflow.operators.cdc import END_AT, START_AT
+    t = Tables(spark, SF_SMALL)
+    write_landing(t, f"{scratch}/landing", batches=(1,), n_files=2)
+    layout = run_pipeline(spark, f"{scratch}/landing", f"{scratch}/pipe", n_buckets=4)
+    for entity in ("part", "customer"):
+        d1 = read_dimension(spark, layout.table(f"dim_{entity}_type1"))
+        d2 = read_dimension(spark, layout.table(f"dim_{entity}_type2"))
+        assert d2.where(f"{END_AT} IS NOT NULL").count() == 0
+        assert rows(d2.drop(START_AT, END_AT)) == rows(d1)
