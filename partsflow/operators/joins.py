@@ -17,7 +17,10 @@ one task.  ``left_join`` avoids that exactly:
    the NULL-extended rows produced for its empty buckets are dropped.
 
 The result equals the plain left join row for row.  Cost on unskewed data:
-one partial aggregation of the right keys and a (normally empty) broadcast.
+one partial aggregation of the right keys and a (normally empty) broadcast;
+and because the join is partitioned on (key, salt), two consecutive joins on
+the same key no longer share one exchange.  ``chunk=None`` gives the plain
+left join (shared exchanges) for inputs known to be free of hot keys.
 """
 
 from __future__ import annotations
@@ -32,13 +35,15 @@ DEFAULT_CHUNK = 1 << 22  # rows of one right key handled by one task
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-              chunk: int = DEFAULT_CHUNK, spread_by: Sequence[str] | None = None) -> DataFrame:
+              chunk: int | None = DEFAULT_CHUNK, spread_by: Sequence[str] | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left.l = right.r [AND ...]`` for ``on`` =
     [(l, r), ...]; column names of the two sides must be distinct.
 
     ``spread_by``: right columns hashed to pick a hot row's bucket (default:
     all right columns; name a row id to keep column pruning effective).
     """
+    if chunk is None:
+        return left.join(right, reduce(lambda a, b: a & b, [left[lc] == right[rc] for lc, rc in on]), "left")
     lk = [lc for lc, _ in on]
     rk = [rc for _, rc in on]
     hot = (right.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rk]))

@@ -156,6 +156,6 @@ def test_skew_safe_left_join_equals_plain_left_join(spark):
     rk = [0] * 60 + [1] * 9 + [rnd.randint(2, 10) for _ in range(50)] + [None, 99]
     right = spark.createDataFrame([(k, i) for i, k in enumerate(rk)], "rk int, rv int")
     plain = Counter(tuple(r) for r in left.join(right, left.lk == right.rk, "left").collect())
-    for chunk in (1, 4, 1000):
+    for chunk in (1, 4, 1000, None):
         got = Counter(tuple(r) for r in left_join(left, right, [("lk", "rk")], chunk=chunk).collect())
         assert got == plain, chunk
