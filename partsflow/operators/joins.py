@@ -31,6 +31,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partsflow.session import shared_root
+
 DEFAULT_CHUNK = 1 << 22  # rows of one right key handled by one task
 
 
@@ -51,7 +53,11 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
            .where(F.col("__n") > F.lit(chunk))
            .select(*[F.col(c).alias(f"__hk{i}") for i, c in enumerate(rk)],
                    F.ceil(F.col("__n") / F.lit(chunk)).cast("int").alias("__buckets")))
-    hot = F.broadcast(hot)  # bounded: at most rows(right) / chunk keys
+    # Small and bounded (at most rows(right) / chunk keys): materialise it once
+    # (reliable checkpoint in the shared checkpoint folder) so both sides use
+    # one result, and broadcast it.
+    shared_root(right.sparkSession)
+    hot = F.broadcast(hot.checkpoint(eager=True))
 
     def flag(df: DataFrame, keys: list[str]) -> DataFrame:
         cond = reduce(lambda a, b: a & b, [df[k] == hot[f"__hk{i}"] for i, k in enumerate(keys)])

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from partsflow.session import shared_root
+
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row position
 MIX = 40503  # multiplier of the draw mixing (small enough for 64-bit keys up to ~1e14)
 MODULUS = 4294967291
@@ -24,6 +26,7 @@ MODULUS = 4294967291
 def dense_index(df: DataFrame, order_by: Sequence[str], out: str = "__idx") -> DataFrame:
     """Add ``out`` = 0-based rank of the row in ``order_by`` order (ties in
     arbitrary but fixed order)."""
+    shared_root(df.sparkSession)  # checkpoint folder from the session (set only if unset)
     s = (df.orderBy(*order_by)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__pos", F.monotonically_increasing_id()
