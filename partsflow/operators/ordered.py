@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SHIFTS = (21, 42)
@@ -95,7 +95,3 @@ def running_max_before(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     keys = list(keys)
     per_pos = df.groupBy(*keys, pos).agg(F.max(value).alias("__v"))
     return prefix_max(per_pos, keys, pos, "__v", out, inclusive=False, shifts=shifts).drop("__v")
-
-
-def as_column(x: str | Column) -> Column:
-    return F.col(x) if isinstance(x, str) else x
