@@ -175,6 +175,27 @@ def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) ->
             raise q.exception()
 
 
+def rebuild_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
+    """Recompute every dimension from the whole change log (recovery after a
+    lost or corrupted state table; also the way to change ``n_buckets``)."""
+    by_source: dict[str, dict[str, int]] = {}
+    specs: dict[str, CdcSpec] = {}
+    for dim, (source, spec, scd_type) in DIMENSIONS.items():
+        by_source.setdefault(source, {})[dim] = scd_type
+        specs[source] = spec
+    for source, dims in by_source.items():
+        spec = specs[source]
+        events = spark.read.parquet(layout.changelog(source)).drop(BUCKET, BATCH_ID)
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(n_buckets))
+        for dim, scd_type in dims.items():
+            state = scd1_state(events, spec) if scd_type == 1 else scd2_state(events, spec)
+            extra = [START_AT, END_AT] if scd_type == 2 else []
+            # whole-table replacement (static), unlike the per-bucket merges
+            (state.select(*events.columns, "__del", *extra).withColumn(BUCKET, bucket)
+             .write.mode("overwrite").option("partitionOverwriteMode", "static")
+             .partitionBy(BUCKET).parquet(layout.table(dim)))
+
+
 def run_facts(spark: SparkSession, layout: Layout) -> None:
     silver = {name: spark.read.parquet(layout.table(name)) for name in SILVER}
     dim1 = {d: read_dimension(spark, layout.table(d)) for d in ("dim_part_type1", "dim_customer_type1")}
@@ -217,4 +238,4 @@ def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buc
     return layout
 
 
-__all__ = ["Layout", "CdcApply", "run_pipeline", "read_dimension", "START_AT", "END_AT"]
+__all__ = ["Layout", "CdcApply", "run_pipeline", "read_dimension", "rebuild_dimensions", "START_AT", "END_AT"]
