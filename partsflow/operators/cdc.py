@@ -37,7 +37,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partsflow.operators.ordered import DEFAULT_SHIFTS, latest_at_or_before, next_position
+from partsflow.operators.ordered import DEFAULT_SHIFTS, DIRECT_LIMIT, latest_at_or_before, next_position
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -51,6 +51,7 @@ class CdcSpec:
     except_columns: Sequence[str] = ("_op", "_sequence")
     tie_break: Sequence[str] = ("updated_at",)
     shifts: Sequence[int] = field(default=DEFAULT_SHIFTS)
+    direct_limit: int | None = DIRECT_LIMIT  # None: always the bucketed ordered look-up
 
     def is_delete(self) -> Column:
         return F.coalesce(F.expr(self.apply_as_deletes), F.lit(False))
@@ -107,7 +108,8 @@ def scd2_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
     """Every collapsed event with ``__START_AT``/``__END_AT`` and ``__del``
     (delete events kept as markers; see ``scd1_state`` for why)."""
     ev = collapse_events(df, spec)
-    ev = next_position(ev, spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts)
+    ev = next_position(ev, spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts,
+                       direct_limit=spec.direct_limit)
     return ev.withColumn(START_AT, F.col(spec.sequence_by))
 
 
@@ -124,7 +126,8 @@ def dim_columns(source_columns: Sequence[str], spec: CdcSpec, scd_type: int) ->
 
 
 def as_of(probes: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
-          columns: Sequence[str], prefix: str = "", shifts: Sequence[int] = DEFAULT_SHIFTS) -> DataFrame:
+          columns: Sequence[str], prefix: str = "", shifts: Sequence[int] = DEFAULT_SHIFTS,
+          direct_limit: int | None = DIRECT_LIMIT) -> DataFrame:
     """Left as-of join: attach to every probe row the type-2 version of its key
     valid at sequence ``at`` (``__START_AT <= at < __END_AT``, open end = now).
 
@@ -134,7 +137,7 @@ def as_of(probes: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
     """
     keys = list(keys)
     found = latest_at_or_before(probes.select(*keys, at), versions, keys, at, START_AT, "__vstart",
-                                shifts=shifts)
+                                shifts=shifts, direct_limit=direct_limit)
     picked = [F.col(f"__v.{c}").alias(prefix + c) for c in columns]
     v = versions.alias("__v")
     matched = (found.alias("__f")

@@ -78,8 +78,8 @@ def brute_scd(rows):
     return t1, t2
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_random_events_match_brute_force_and_are_order_free(spark, seed):
+@pytest.mark.parametrize("seed,direct", [(1, True), (2, False), (3, False)])
+def test_random_events_match_brute_force_and_are_order_free(spark, seed, direct):
     rnd = random.Random(seed)
     rows = []
     for _ in range(150):
@@ -90,7 +90,8 @@ def test_random_events_match_brute_force_and_are_order_free(spark, seed):
         rows.append((k, float(rnd.randint(1, 9)), op, s))
     rows += rows[:10]  # duplicates
     t1, t2 = brute_scd(rows)
-    spec = CdcSpec(keys=["k"])
+    # direct: one window per key; otherwise the bucketed look-up is forced
+    spec = CdcSpec(keys=["k"]) if direct else CdcSpec(keys=["k"], direct_limit=None)
     for order in (rows, list(reversed(rows)), rnd.sample(rows, len(rows))):
         df = events(spark, order).repartition(5)
         assert {(r.k, r.price) for r in scd1(df, spec).collect()} == t1
@@ -123,7 +124,8 @@ def test_prefix_max_matches_brute_force(spark, shifts):
     df = spark.createDataFrame(data, "k string, pos long, v long")
     for inclusive in (True, False):
         got = {(r.k, r.pos): r.out for r in
-               prefix_max(df, ["k"], "pos", "v", "out", inclusive=inclusive, shifts=shifts).collect()}
+               prefix_max(df, ["k"], "pos", "v", "out", inclusive=inclusive, shifts=shifts,
+                          direct_limit=None).collect()}
         for k, pos, _ in data:
             vals = [v for k2, p2, v in data if k2 == k and v is not None and (p2 <= pos if inclusive else p2 < pos)]
             assert got[(k, pos)] == (max(vals) if vals else None)
@@ -133,7 +135,8 @@ def test_next_position_is_lead(spark):
     rnd = random.Random(5)
     data = [(k, p) for k in ("x", "y") for p in rnd.sample(range(0, 1 << 50, 1 << 30), 40)]
     df = spark.createDataFrame(data, "k string, pos long")
-    got = {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt").collect()}
+    got = {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt", direct_limit=None).collect()}
+    assert got == {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt").collect()}
     for k, p in data:
         later = [p2 for k2, p2 in data if k2 == k and p2 > p]
         assert got[(k, p)] == (min(later) if later else None)
@@ -144,6 +147,8 @@ def test_as_of_join(spark):
     probes = spark.createDataFrame([("A", 0), ("A", 3), ("A", 4), ("A", 100), ("B", 5), ("B", 6),
                                     ("C", 7), ("C", 8), ("Z", 1), ("A", 4)], "k string, s long")
     got = Counter((r.k, r.s, r.price) for r in as_of(probes, d2, ["k"], "s", ["price"]).collect())
+    assert got == Counter((r.k, r.s, r.price) for r in
+                          as_of(probes, d2, ["k"], "s", ["price"], direct_limit=None).collect())
     assert got == Counter([("A", 0, None), ("A", 3, 1.0), ("A", 4, 2.5), ("A", 4, 2.5), ("A", 100, 3.0),
                            ("B", 5, 2.0), ("B", 6, None), ("C", 7, None), ("C", 8, 10.0), ("Z", 1, None)])
 
