@@ -158,14 +158,17 @@ def read_dimension(spark: SparkSession, path: str, except_columns=("_op", "_sequ
     return df.where(~F.col("__del")).drop("__del", BUCKET, *except_columns)
 
 
-def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
-    by_source: dict[str, dict[str, int]] = {}
-    specs: dict[str, CdcSpec] = {}
+def _dimensions_by_source() -> dict[str, tuple[CdcSpec, dict[str, int]]]:
+    """silver table -> (CDC spec, {dimension: SCD type})."""
+    out: dict[str, tuple[CdcSpec, dict[str, int]]] = {}
     for dim, (source, spec, scd_type) in DIMENSIONS.items():
-        by_source.setdefault(source, {})[dim] = scd_type
-        specs[source] = spec
-    for source, dims in by_source.items():
-        handler = CdcApply(spark, layout, source, specs[source], dims, n_buckets)
+        out.setdefault(source, (spec, {}))[1][dim] = scd_type
+    return out
+
+
+def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
+    for source, (spec, dims) in _dimensions_by_source().items():
+        handler = CdcApply(spark, layout, source, spec, dims, n_buckets)
         q = (stream_table(spark, layout.table(source)).writeStream
              .foreachBatch(handler)
              .option("checkpointLocation", layout.checkpoint(f"cdc_{source}"))
@@ -178,13 +181,7 @@ def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) ->
 def rebuild_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
     """Recompute every dimension from the whole change log (recovery after a
     lost or corrupted state table; also the way to change ``n_buckets``)."""
-    by_source: dict[str, dict[str, int]] = {}
-    specs: dict[str, CdcSpec] = {}
-    for dim, (source, spec, scd_type) in DIMENSIONS.items():
-        by_source.setdefault(source, {})[dim] = scd_type
-        specs[source] = spec
-    for source, dims in by_source.items():
-        spec = specs[source]
+    for source, (spec, dims) in _dimensions_by_source().items():
         events = spark.read.parquet(layout.changelog(source)).drop(BUCKET, BATCH_ID)
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(n_buckets))
         for dim, scd_type in dims.items():
