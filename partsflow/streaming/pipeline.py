@@ -101,9 +101,10 @@ class CdcApply:
     Per micro-batch: (1) write the events under their own batch id (dynamic
     overwrite -> idempotent on replay); (2) list the touched buckets -- at
     most ``n_buckets`` small integers, the only values brought to the driver;
-    (3) for each dimension, recompute the touched buckets from *previous
-    state + new events* with the batch operators: for type 1 that is one row
-    per key plus the batch, for type 2 the collapsed history of the bucket;
+    (3) for each dimension, recompute the keys of the micro-batch from their
+    *previous state + new events* with the batch operators (type 1: one row
+    per key; type 2: the key's collapsed history) and carry the other keys of
+    the touched buckets unchanged (semi / anti join on the batch's keys);
     (4) dynamically overwrite those buckets (Spark stages the new files and
     swaps the partitions at commit, so reading the old bucket in the same job
     is safe).  Merging is idempotent (max per key / collapse per sequence),
@@ -133,6 +134,7 @@ class CdcApply:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         log = self.layout.changelog(self.entity)
         columns = batch.columns
+        keys = list(self.spec.keys)
         (batch.withColumn(BUCKET, self.bucket_of()).withColumn(BATCH_ID, F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET, BATCH_ID).parquet(log))
@@ -141,13 +143,24 @@ class CdcApply:
         if not touched:
             return
         new = new.select(*columns)
+        batch_keys = new.select(*keys).distinct()
         for dim, scd_type in self.dims.items():
             path = self.layout.table(dim)
-            prior = self._prior_state(path, touched, columns)
-            events = new if prior is None else new.unionByName(prior)
-            state = scd1_state(events, self.spec) if scd_type == 1 else scd2_state(events, self.spec)
             extra = [START_AT, END_AT] if scd_type == 2 else []
-            (state.select(*columns, "__del", *extra).withColumn(BUCKET, self.bucket_of())
+            stored = [*columns, "__del", *extra]
+            prior = self._prior_state(path, touched, stored)
+            if prior is None:
+                events, carried = new, None
+            else:
+                # Only keys of this micro-batch change; the other keys of the
+                # touched buckets keep their state rows as they are.
+                events = new.unionByName(prior.join(batch_keys, keys, "left_semi").select(*columns))
+                carried = prior.join(batch_keys, keys, "left_anti")
+            state = scd1_state(events, self.spec) if scd_type == 1 else scd2_state(events, self.spec)
+            out = state.select(*stored)
+            if carried is not None:
+                out = out.unionByName(carried)
+            (out.withColumn(BUCKET, self.bucket_of())
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BUCKET).parquet(path))
 
