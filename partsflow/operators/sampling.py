@@ -41,8 +41,9 @@ def dense_index(df: DataFrame, order_by: Sequence[str], out: str = "__idx") -> D
 
 def draw_index(draw: Column, population: Column, seed: int) -> Column:
     """Index in [0, population) for draw number ``draw`` (integer mixing, so
-    the choice is reproducible in any engine)."""
-    return F.pmod(draw * F.lit(MIX) + F.lit(seed), population)
+    the choice is reproducible in any engine); NULL for an empty population
+    (ANSI mode would raise on a zero modulus)."""
+    return F.when(population > F.lit(0), F.pmod(draw * F.lit(MIX) + F.lit(seed), population))
 
 
 def sample_with_replacement(population: DataFrame, n: int, order_by: Sequence[str], seed: int,

@@ -72,6 +72,8 @@ def test_sampling_sizes_and_distinctness(spark):
     assert s.where((F.col("k") < 0) | (F.col("k") >= 37)).count() == 0
     w = sample_without_replacement(pop, 10, F.col("k"), seed=99)
     assert w.count() == 10 and w.distinct().count() == 10
+    empty = pop.where("k < 0")
+    assert sample_with_replacement(empty, 5, ["k"], seed=1).count() == 0
 
 
 def test_clamped_lognormal_bounds(spark):
