@@ -164,3 +164,27 @@ def test_skew_safe_left_join_equals_plain_left_join(spark):
     for chunk in (1, 4, 1000, None):
         got = Counter(tuple(r) for r in left_join(left, right, [("lk", "rk")], chunk=chunk).collect())
         assert got == plain, chunk
+
+
+def test_skew_safe_left_join_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from partsflow.operators.joins import left_join
+
+    keys = st.one_of(st.none(), st.integers(0, 5))
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(keys, max_size=12), st.lists(keys, max_size=40), st.integers(1, 6))
+    def check(lk, rk, chunk):
+        left = spark.createDataFrame([(k, i) for i, k in enumerate(lk)], "lk int, li int")
+        right = spark.createDataFrame([(k, i) for i, k in enumerate(rk)], "rk int, ri int")
+        expect = Counter()
+        for i, a in enumerate(lk):
+            hits = [j for j, b in enumerate(rk) if a is not None and a == b]
+            for j in hits or [None]:
+                expect[(a, i, a if j is not None else None, j)] += 1
+        got = Counter(tuple(r) for r in left_join(left, right, [("lk", "rk")], chunk=chunk).collect())
+        assert got == expect
+
+    check()
