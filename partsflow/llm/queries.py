@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partsflow.llm.common import read_table
 
-TOKENIZERS = "/opt/tokenizers"
+#: Of the registered queries only; a real run passes its own secret key.
+PII_KEY = "registered-query"
 
 
 def tokenizer_path(name: str) -> str:
@@ -34,6 +35,14 @@ def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.pii import pseudonymize
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (pseudonymize(docs, key=PII_KEY, kinds_col="kinds")
+            .select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), "kinds"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from partsflow.llm.langid import identify, is_held_out, learn
 
@@ -52,6 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op7_lines": op7_lines,
+    "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
