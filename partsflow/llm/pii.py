@@ -20,7 +20,7 @@ import hmac
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from partsflow.llm.common import fresh, materialize
 
@@ -321,6 +321,6 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
 
     schema = docs.schema
     if kinds_col:
-        schema = docs.select("*").schema.add(kinds, "array<string>")
+        schema = docs.select("*").schema.add(kinds, T.ArrayType(T.StringType()))
     out = src.mapInPandas(run, schema)
     return out.withColumnRenamed(kinds, kinds_col) if kinds_col else out

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from partsflow.llm.common import read_table
+from partsflow.llm.common import materialize, read_table
 
 #: Of the registered queries only; a real run passes its own secret key.
 PII_KEY = "registered-query"
@@ -28,6 +28,53 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read_table(spark, sf_dir, "documents"), shingle=4, max_distance=4)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from partsflow.llm.bpe import encode
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = encode(docs, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids_col="ids", decoded_col="decoded")
+    return out.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.quality import judge, learn, statistics
+
+    stats = materialize(statistics(read_table(spark, sf_dir, "documents"), ["doc_id"]), "quality-stats")
+    rules = learn(stats, read_table(spark, sf_dir, "labels"))
+    return judge(stats, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+#: Byte limit of a shard in op6.
+SHARD_BYTES = 4_000_000
+
+
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.sharding import shard
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return shard(docs, SHARD_BYTES).select("doc_id", "shard_id", "n_bytes")
+
+
+OP6_SQL = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM documents),
+levels AS (SELECT unnest(range(0, 33)) AS depth),
+entries AS (
+  SELECT depth, h >> (32 - depth) AS prefix, sum(n_bytes) AS total
+  FROM d, levels GROUP BY 1, 2),
+leaf AS (
+  SELECT d.doc_id, d.n_bytes, d.h, min(e.depth) AS depth
+  FROM d JOIN entries e ON e.prefix = d.h >> (32 - e.depth) AND e.total <= {SHARD_BYTES}
+  GROUP BY 1, 2, 3)
+SELECT doc_id, substr(lpad(bin(h), 32, '0'), 1, CAST(depth AS INTEGER)) AS shard_id, CAST(n_bytes AS BIGINT) AS n_bytes FROM leaf
+"""
+
+
 def op7_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from partsflow.llm.linededup import line_dedup
 
@@ -60,10 +107,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
+    "op6_shards": op6_shards,
     "op7_lines": op7_lines,
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_shards": OP6_SQL}
