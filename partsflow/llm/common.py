@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from partsflow.session import scratch_dir
 
+FILTER_WORDS = 16_384  # 64-bit words of may_hold's bitmap: 128 kB, whatever the input
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -51,3 +53,17 @@ def add_dense_index(df: DataFrame, order: list, name: str = "idx", start: int =
     lookup = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])
     w = Window.partitionBy(part).orderBy(*order)
     return (ranged.withColumn(name, (F.row_number().over(w) - 1 + lookup[F.col(part)]).cast("long")).drop(part))
+
+
+def may_hold(keys: DataFrame, key: str) -> Column:
+    """A test for ``keys`` (column k) that may say yes wrongly, never no wrongly:
+    a bitmap of fixed size.  Beyond some hundred thousand keys it says yes more
+    often, and the join behind it does the whole work."""
+    bits = (keys.groupBy(F.pmod("k", F.lit(FILTER_WORDS)).cast("int").alias("w"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(pmod(shiftright(k, 20), 64) as int)))").alias("b")).collect())
+    words = [0] * FILTER_WORDS
+    for r in bits:
+        words[r["w"]] = r["b"]
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    word = F.get(table, F.pmod(key, F.lit(FILTER_WORDS)).cast("int"))
+    return word.bitwiseAND(F.expr(f"shiftleft(1L, cast(pmod(shiftright({key}, 20), 64) as int))")) != 0

@@ -22,6 +22,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.suffixdedup import substring_dedup
+
+    kept = substring_dedup(read_table(spark, sf_dir, "documents"), length=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from partsflow.llm.simhash import simhash_groups
 
@@ -106,6 +113,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix": op1_suffix,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
