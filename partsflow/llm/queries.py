@@ -29,6 +29,12 @@ def op1_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.nearest import nearest
+
+    return nearest(read_table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(20)) == 0, k=20)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from partsflow.llm.simhash import simhash_groups
 
@@ -114,6 +120,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
+    "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
