@@ -23,14 +23,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from partsflow.llm.common import add_dense_index, materialize
 
-CACHE_WORDS = 200_000
-CACHE_CHARS = 64
+REMEMBERED_WORDS = 400_000  # in each of two generations
+JOINED = 1000  # new words encoded at once, between separators
+SEPARATOR = "\0"
 
 
 class WordTokenizer:
     """Ids of whole texts by the ``tokenizers`` library.  The vocabulary drops
-    white space and never joins words over it, so each word between spaces,
-    tabs and line ends is encoded once and remembered (a bounded memory)."""
+    white space and never joins words over it, so each word between spaces, tabs
+    and line ends is encoded once and remembered, as little-endian unsigned
+    32-bit integers.  The memory is bounded: two generations of words."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -38,20 +40,39 @@ class WordTokenizer:
 
         self._t = Tokenizer.from_file(path)
         self._t.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._seen: dict[str, list[int]] = {}
+        self._encode = getattr(self._t, "encode_batch_fast", self._t.encode_batch)
+        self._separator = self._t.encode(SEPARATOR, add_special_tokens=False).ids
+        self._now: dict[str, bytes] = {"": b""}
+        self._before: dict[str, bytes] = {}
+
+    def _encode_words(self, words: list[str]) -> None:
+        plain = [w for w in words if SEPARATOR not in w] if len(self._separator) == 1 else []
+        groups = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
+        texts = [f" {SEPARATOR} ".join(g) for g in groups]
+        for group, e in zip(groups, self._encode(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            for w, part in zip(group, np.split(ids, np.flatnonzero(ids == self._separator[0]))):
+                self._now[w] = part.tobytes()
+            for w in group[1:]:  # all but the first begin with the separator's id
+                self._now[w] = self._now[w][4:]
+        rest = [w for w in words if w not in self._now]
+        for w, e in zip(rest, self._encode(rest, add_special_tokens=False)):
+            self._now[w] = np.array(e.ids, dtype="<u4").tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        seen = self._seen if len(self._seen) < CACHE_WORDS else {}
-        self._seen = seen
-        new = list({w for ws in words for w in ws if w not in seen})
-        for w, e in zip(new, self._t.encode_batch(new, add_special_tokens=False)):
-            seen[w] = e.ids
-        out = [np.fromiter(chain.from_iterable(map(seen.__getitem__, ws)), dtype="<u4") for ws in words]
-        for w in new:
-            if len(w) > CACHE_CHARS:
-                del seen[w]
-        return out
+        if len(self._now) > REMEMBERED_WORDS:
+            self._before, self._now = self._now, {"": b""}
+        new = []
+        for w in set(chain.from_iterable(words)):
+            if w not in self._now:
+                if w in self._before:
+                    self._now[w] = self._before[w]
+                else:
+                    new.append(w)
+        self._encode_words(new)
+        get = self._now.__getitem__
+        return [np.frombuffer(b"".join(map(get, ws)), dtype="<u4") for ws in words]
 
 
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
