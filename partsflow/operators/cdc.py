@@ -23,10 +23,10 @@ type-2 rows always equal the type-1 rows):
 * a delete of an unknown or already deleted key only closes what is open;
 * an update of an unknown key creates the key (upsert).
 
-Scale: type 1 is a single aggregation with map-side partial aggregation (a
-hot key is reduced inside every task before the shuffle).  Type 2 needs the
-next sequence per key, computed with ``ordered.next_position`` whose groups
-are bounded, instead of ``lead`` over a whole key.
+Scale: type 1 keeps one row per key and task before its shuffle.  Type 2 needs
+one exchange by key: the events of a key are sorted once and both windows read
+that order.  For keys with more events than one task can sort, ``bucketed=True``
+uses ``ordered.next_position`` whose groups are bounded.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partsflow.operators.ordered import DEFAULT_SHIFTS, DIRECT_LIMIT, latest_at_or_before, next_position
+from partsflow.operators.ordered import DEFAULT_SHIFTS, latest_at_or_before, next_position
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -49,9 +49,9 @@ class CdcSpec:
     sequence_by: str = "_sequence"
     apply_as_deletes: str = "_op = 'DELETE'"
     except_columns: Sequence[str] = ("_op", "_sequence")
-    tie_break: Sequence[str] = ("updated_at",)
+    tie_break: Sequence[str] = ()  # columns whose greatest value wins among equal (keys, sequence)
     shifts: Sequence[int] = field(default=DEFAULT_SHIFTS)
-    direct_limit: int | None = DIRECT_LIMIT  # None: always the bucketed ordered look-up
+    bucketed: bool = False  # True: bounded ordered look-ups, for keys with more events than a task can sort
 
     def is_delete(self) -> Column:
         return F.coalesce(F.expr(self.apply_as_deletes), F.lit(False))
@@ -61,13 +61,15 @@ def _payload(df: DataFrame, spec: CdcSpec) -> list[str]:
     return [c for c in df.columns if c not in spec.keys and c != spec.sequence_by]
 
 
-def _ordering_struct(df: DataFrame, spec: CdcSpec, with_sequence: bool) -> Column:
-    """Struct whose maximum is the winning event (see module rules)."""
-    parts = [F.col(spec.sequence_by).alias("__seq")] if with_sequence else []
-    parts.append(spec.is_delete().alias("__del"))
-    parts += [F.col(c).alias(f"__tb{i}") for i, c in enumerate(spec.tie_break)]
-    parts += [F.col(c).alias(c) for c in _payload(df, spec)]
-    return F.struct(*parts)
+def _winner_first(df: DataFrame, spec: CdcSpec) -> Column:
+    """Descending order whose first event of a (keys, sequence) wins (see module rules)."""
+    parts = [F.col("__del"), *[F.col(c).alias(f"__tb{i}") for i, c in enumerate(spec.tie_break)],
+             *[F.col(c) for c in _payload(df, spec)]]
+    return F.struct(*parts).desc()
+
+
+def _sequenced(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    return df.where(F.col(spec.sequence_by).isNotNull()).withColumn("__del", spec.is_delete())
 
 
 def _output_columns(df: DataFrame, spec: CdcSpec) -> list[str]:
@@ -76,12 +78,8 @@ def _output_columns(df: DataFrame, spec: CdcSpec) -> list[str]:
 
 def collapse_events(df: DataFrame, spec: CdcSpec) -> DataFrame:
     """One event per (keys, sequence), NULL sequences dropped; adds ``__del``."""
-    payload = _payload(df, spec)
-    win = (df.where(F.col(spec.sequence_by).isNotNull())
-           .groupBy(*spec.keys, spec.sequence_by)
-           .agg(F.max(_ordering_struct(df, spec, with_sequence=False)).alias("__e")))
-    return win.select(*spec.keys, spec.sequence_by, F.col("__e.__del").alias("__del"),
-                      *[F.col(f"__e.{c}").alias(c) for c in payload])
+    w = Window.partitionBy(*spec.keys, spec.sequence_by).orderBy(_winner_first(df, spec))
+    return (_sequenced(df, spec).withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n"))
 
 
 def scd1_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
@@ -89,14 +87,12 @@ def scd1_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
 
     This is the stored form of a type-1 dimension: when every key of a
     storage bucket is deleted the bucket still has rows, so an overwrite of
-    that bucket removes the old state.
+    that bucket removes the old state.  Spark keeps the first row of each key
+    in every task before the shuffle (window group limit), so a hot key sends
+    one row a task.
     """
-    payload = _payload(df, spec)
-    latest = (df.where(F.col(spec.sequence_by).isNotNull())
-              .groupBy(*spec.keys)
-              .agg(F.max(_ordering_struct(df, spec, with_sequence=True)).alias("__e")))
-    return latest.select(*spec.keys, F.col("__e.__seq").alias(spec.sequence_by), F.col("__e.__del").alias("__del"),
-                         *[F.col(f"__e.{c}").alias(c) for c in payload])
+    w = Window.partitionBy(*spec.keys).orderBy(F.col(spec.sequence_by).desc(), _winner_first(df, spec))
+    return (_sequenced(df, spec).withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n"))
 
 
 def scd1(df: DataFrame, spec: CdcSpec) -> DataFrame:
@@ -107,9 +103,14 @@ def scd1(df: DataFrame, spec: CdcSpec) -> DataFrame:
 def scd2_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
     """Every collapsed event with ``__START_AT``/``__END_AT`` and ``__del``
     (delete events kept as markers; see ``scd1_state`` for why)."""
-    ev = collapse_events(df, spec)
-    ev = next_position(ev, spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts,
-                       direct_limit=spec.direct_limit)
+    if spec.bucketed:
+        ev = next_position(collapse_events(df, spec), spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts, bucketed=True)
+    else:
+        # One exchange by key serves both windows, and the sort of the first,
+        # by (keys, sequence, winner), is an order that the second can use.
+        by_key = df.repartition(*[F.col(k) for k in spec.keys])
+        w = Window.partitionBy(*spec.keys).orderBy(spec.sequence_by)
+        ev = collapse_events(by_key, spec).withColumn(END_AT, F.lead(spec.sequence_by).over(w))
     return ev.withColumn(START_AT, F.col(spec.sequence_by))
 
 
@@ -127,7 +128,7 @@ def dim_columns(source_columns: Sequence[str], spec: CdcSpec, scd_type: int) ->
 
 def as_of(probes: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
           columns: Sequence[str], prefix: str = "", shifts: Sequence[int] = DEFAULT_SHIFTS,
-          direct_limit: int | None = DIRECT_LIMIT) -> DataFrame:
+          bucketed: bool = False) -> DataFrame:
     """Left as-of join: attach to every probe row the type-2 version of its key
     valid at sequence ``at`` (``__START_AT <= at < __END_AT``, open end = now).
 
@@ -137,7 +138,7 @@ def as_of(probes: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
     """
     keys = list(keys)
     found = latest_at_or_before(probes.select(*keys, at), versions, keys, at, START_AT, "__vstart",
-                                shifts=shifts, direct_limit=direct_limit)
+                                shifts=shifts, bucketed=bucketed)
     picked = [F.col(f"__v.{c}").alias(prefix + c) for c in columns]
     v = versions.alias("__v")
     matched = (found.alias("__f")

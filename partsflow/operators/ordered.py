@@ -16,11 +16,9 @@ million rows, one task's worth -- whatever the skew.  Bucket summaries are much
 input, and every step is a plain window / partial aggregate / equi-join that
 Spark distributes.
 
-Before bucketing, the size of the largest key is measured (key columns only,
-partial aggregation, one number to the driver).  When no key has more than
-``direct_limit`` rows, one window per key is already bounded and is used
-directly; otherwise the bucketed plan runs.  Either way no window partition
-exceeds a known size.
+The bucketed plan is the caller's choice (``bucketed=True``); without it one
+window per key is used, which is cheaper where no key holds more rows than a
+task can sort.  Building either plan starts no job.
 
 Contract: key columns are non-NULL; ``pos`` is a non-NULL BIGINT; rows should
 be distinct on (keys, pos) -- a pile of equal positions would share a bucket
@@ -35,13 +33,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SHIFTS = (21, 42)
-DIRECT_LIMIT = 1 << 21  # largest key that one window task handles directly
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key (0 for an empty frame)."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    return int(n or 0)
 
 
 def _frame(keys: Sequence[str], pos: str, inclusive: bool, extra: Sequence[str] = ()):
@@ -51,13 +42,12 @@ def _frame(keys: Sequence[str], pos: str, inclusive: bool, extra: Sequence[str]
 
 def prefix_max(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str,
                inclusive: bool = True, shifts: Sequence[int] = DEFAULT_SHIFTS,
-               direct_limit: int | None = DIRECT_LIMIT, _level: int = 0) -> DataFrame:
+               bucketed: bool = False, _level: int = 0) -> DataFrame:
     """Add ``out`` = max(``value``) over rows of the same keys whose position
     is ``<= pos`` (``inclusive``) or ``< pos``.  NULL values are ignored; the
-    result is NULL when no earlier row has a value.  ``direct_limit=None``
-    always uses the bucketed plan."""
+    result is NULL when no earlier row has a value."""
     keys = list(keys)
-    if _level == 0 and direct_limit is not None and largest_group(df, keys) <= direct_limit:
+    if not bucketed:
         shifts = ()
     if not shifts:
         return df.withColumn(out, F.max(value).over(_frame(keys, pos, inclusive)))
@@ -67,27 +57,27 @@ def prefix_max(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: st
            .withColumn(inner, F.max(value).over(_frame(keys, pos, inclusive, [b]))))
     totals = d.groupBy(*keys, b).agg(F.max(value).alias(total))
     carried = prefix_max(totals, keys, b, total, carry, inclusive=False,
-                         shifts=[s - step for s in shifts[1:]], direct_limit=None, _level=_level + 1)
+                         shifts=[s - step for s in shifts[1:]], bucketed=True, _level=_level + 1)
     d = d.join(carried.select(*keys, b, carry), [*keys, b], "left")
     return d.withColumn(out, F.greatest(F.col(inner), F.col(carry))).drop(b, inner, carry)
 
 
 def next_position(df: DataFrame, keys: Sequence[str], pos: str, out: str,
-                  shifts: Sequence[int] = DEFAULT_SHIFTS, direct_limit: int | None = DIRECT_LIMIT) -> DataFrame:
+                  shifts: Sequence[int] = DEFAULT_SHIFTS, bucketed: bool = False) -> DataFrame:
     """Add ``out`` = smallest ``pos`` of the same keys that is greater than
     this row's ``pos`` (NULL for the last row) -- ``lead(pos)`` for rows that
     are distinct on (keys, pos).  Computed as a prefix maximum on negated
     positions so that the bounded-group plan above applies."""
     neg = "__negpos"
     d = df.withColumn(neg, -F.col(pos))
-    d = prefix_max(d, keys, neg, neg, out, inclusive=False, shifts=shifts, direct_limit=direct_limit)
+    d = prefix_max(d, keys, neg, neg, out, inclusive=False, shifts=shifts, bucketed=bucketed)
     return d.withColumn(out, -F.col(out)).drop(neg)
 
 
 def latest_at_or_before(points: DataFrame, marks: DataFrame, keys: Sequence[str],
                         point_pos: str, mark_pos: str, out: str,
                         shifts: Sequence[int] = DEFAULT_SHIFTS,
-                        direct_limit: int | None = DIRECT_LIMIT) -> DataFrame:
+                        bucketed: bool = False) -> DataFrame:
     """For each distinct (keys, ``point_pos``) of ``points`` the greatest
     ``mark_pos`` of ``marks`` with the same keys and ``mark_pos <= point_pos``.
 
@@ -99,13 +89,13 @@ def latest_at_or_before(points: DataFrame, marks: DataFrame, keys: Sequence[str]
     m = marks.select(*keys, F.col(mark_pos).alias("__pos")).distinct() \
         .withColumn("__mark", F.col("__pos")).withColumn("__is_point", F.lit(False))
     u = prefix_max(p.unionByName(m), keys, "__pos", "__mark", out, inclusive=True, shifts=shifts,
-                   direct_limit=direct_limit)
+                   bucketed=bucketed)
     return u.where("__is_point").select(*keys, F.col("__pos").alias(point_pos), out)
 
 
 def running_max_before(df: DataFrame, keys: Sequence[str], pos: str, value: str, out: str,
                        shifts: Sequence[int] = DEFAULT_SHIFTS,
-                       direct_limit: int | None = DIRECT_LIMIT) -> DataFrame:
+                       bucketed: bool = False) -> DataFrame:
     """Per (keys, pos): max(value) over strictly earlier positions of the key.
 
     Rows are first reduced to one per (keys, pos) (partial aggregation), so
@@ -114,4 +104,4 @@ def running_max_before(df: DataFrame, keys: Sequence[str], pos: str, value: str,
     keys = list(keys)
     per_pos = df.groupBy(*keys, pos).agg(F.max(value).alias("__v"))
     return prefix_max(per_pos, keys, pos, "__v", out, inclusive=False, shifts=shifts,
-                      direct_limit=direct_limit).drop("__v")
+                      bucketed=bucketed).drop("__v")

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from partsflow.session import shared_root
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row position
-MIX = 40503  # multiplier of the draw mixing (small enough for 64-bit keys up to ~1e14)
-MODULUS = 4294967291
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], out: str = "__idx") -> DataFrame:
@@ -39,11 +37,23 @@ def dense_index(df: DataFrame, order_by: Sequence[str], out: str = "__idx") -> D
             .withColumn(out, F.col("__off") + F.col("__pos")).drop("__pid", "__pos", "__off"))
 
 
+def seeded_number(key: Column, seed: int) -> Column:
+    """60 pseudo-random bits of ``key``: the first 15 hexadecimal digits of
+    md5('seed:key'), which any SQL engine can compute."""
+    text = F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+
+
+def seeded_number_sql(key: str, seed: int) -> str:
+    """``seeded_number`` as DuckDB SQL."""
+    return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
 def draw_index(draw: Column, population: Column, seed: int) -> Column:
-    """Index in [0, population) for draw number ``draw`` (integer mixing, so
-    the choice is reproducible in any engine); NULL for an empty population
-    (ANSI mode would raise on a zero modulus)."""
-    return F.when(population > F.lit(0), F.pmod(draw * F.lit(MIX) + F.lit(seed), population))
+    """Index in [0, population) for draw number ``draw``: independent of the
+    other draws, so indexes repeat as in drawing with replacement; NULL for an
+    empty population (ANSI mode would raise on a zero modulus)."""
+    return F.when(population > F.lit(0), F.pmod(seeded_number(draw, seed), population))
 
 
 def sample_with_replacement(population: DataFrame, n: int, order_by: Sequence[str], seed: int,
@@ -58,7 +68,8 @@ def sample_with_replacement(population: DataFrame, n: int, order_by: Sequence[st
 
 
 def sample_without_replacement(df: DataFrame, k: int, key: Column, seed: int) -> DataFrame:
-    """``k`` distinct rows chosen by a seeded order on ``key`` (a top-k: each
-    task keeps its best ``k``, then one merge of at most k x tasks rows)."""
-    order = F.pmod(key * F.lit(MIX) + F.lit(seed), F.lit(MODULUS))
-    return df.withColumn("__o", order).orderBy("__o", key).limit(k).drop("__o")
+    """``k`` distinct rows: the first ``k`` in a seeded order of ``key`` (ties by
+    the key itself).  The order is a range-partitioned sort with a dense index,
+    so no task holds more than its partition, whatever ``k``."""
+    ordered = df.withColumn("__o", seeded_number(key, seed)).withColumn("__k", key)
+    return dense_index(ordered, ["__o", "__k"]).where(F.col("__idx") < k).drop("__o", "__k", "__idx")

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from partsflow.operators.cdc import CdcSpec, scd1, scd2
 from partsflow.operators.clean import clean, validity_filter
-from partsflow.operators.joins import DEFAULT_CHUNK
 from partsflow.plans import facts as FX
 from partsflow.plans.feeds import Tables, build_feed
 from partsflow.plans.silver import SILVER
@@ -24,8 +23,8 @@ from partsflow.schemas import SILVER_SOURCE, TABLES
 from partsflow.sinks.tables import write_table
 from partsflow.sources.files import read_feed, typed_feed
 
-PART_CDC = CdcSpec(keys=("part_id",))
-CUSTOMER_CDC = CdcSpec(keys=("customer_id",))
+PART_CDC = CdcSpec(keys=("part_id",), tie_break=("updated_at",))
+CUSTOMER_CDC = CdcSpec(keys=("customer_id",), tie_break=("updated_at",))
 
 DIMENSIONS = {
     "dim_part_type1": ("silver_parts", PART_CDC, 1),
@@ -52,7 +51,7 @@ class Flow:
     STORED_PREFIXES = ("silver_", "dim_")
 
     def __init__(self, tables: Tables, overrides: dict[str, DataFrame] | None = None,
-                 store: str | None = None, join_chunk: int = DEFAULT_CHUNK,
+                 store: str | None = None, join_chunk: int | None = None,
                  landing: Callable[[], str] | None = None):
         self.t = tables
         self.join_chunk = join_chunk

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partsflow.operators.joins import DEFAULT_CHUNK, left_join
+from partsflow.operators.joins import left_join
 
 col = F.col
 
@@ -39,7 +39,7 @@ def _dim_join(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> D
 
 
 def fact_demand_fulfillment(po: DataFrame, ds: DataFrame, r: DataFrame, inv: DataFrame,
-                            dim_part: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                            dim_part: DataFrame, chunk: int | None = None) -> DataFrame:
     x = _prefixed(po, "po")
     x = left_join(x, _prefixed(ds, "ds"), [("po__signal_id", "ds__signal_id")], chunk, ["ds__signal_id"])
     x = left_join(x, _prefixed(r, "r"), [("po__po_id", "r__po_id")], chunk, ["r__receiver_id"])
@@ -68,7 +68,7 @@ def fact_demand_fulfillment(po: DataFrame, ds: DataFrame, r: DataFrame, inv: Dat
 
 
 def fact_work_order_completion(wo: DataFrame, q: DataFrame, ls: DataFrame, dim_part: DataFrame,
-                               dim_customer: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                               dim_customer: DataFrame, chunk: int | None = None) -> DataFrame:
     x = _prefixed(wo, "wo")
     x = left_join(x, _prefixed(q, "q"), [("wo__wo_id", "q__wo_id")], chunk, ["q__quote_id"])
     x = left_join(x, _prefixed(ls, "ls"), [("wo__technician_id", "ls__technician_id"),

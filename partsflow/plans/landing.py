@@ -41,7 +41,7 @@ def write_landing(tables: Tables, root: str, batches: tuple[int, ...] | None = N
 
 def landing_for(spark: SparkSession, source_root: str) -> str:
     """Landing zone for a source folder, written once per session."""
-    key = (id(spark), source_root.rstrip("/"))
+    key = (spark.sparkContext.applicationId, source_root.rstrip("/"))
     if key not in _LANDINGS:
         root = scratch_dir(spark, "landing")
         write_landing(Tables(spark, source_root), root)

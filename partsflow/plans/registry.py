@@ -75,6 +75,11 @@ for _fact in ("fact_demand_fulfillment", "fact_work_order_completion"):
 # ---- consumer queries (Q1-Q6) and CDC reports --------------------------------
 _reg("q_part_current", lambda f: A.part_current(f.dim("dim_part_type1")),
      compose.statement(*S.ANALYTICS_SQL["q_part_current"][::-1]))
+# Point look-ups: the filter reaches the scan of the stored dimension.
+LOOKUP_PART = "PART-00007"
+for _name, _dim, _look in (("q_part_current", "dim_part_type1", A.part_current), ("q_part_history", "dim_part_type2", A.part_history)):
+    _reg(f"{_name}_by_key", lambda f, d=_dim, q=_look: q(f.dim(d), [LOOKUP_PART]),
+         f"SELECT * FROM ({compose.statement(*S.ANALYTICS_SQL[_name][::-1])}) WHERE part_id = '{LOOKUP_PART}'")
 _reg("q_part_history", lambda f: A.part_history(f.dim("dim_part_type2")),
      compose.statement(*S.ANALYTICS_SQL["q_part_history"][::-1]))
 _reg("q_customer_current", lambda f: A.customer_current(f.dim("dim_customer_type2")),
@@ -150,12 +155,12 @@ def _sample_pos(f: Flow) -> DataFrame:
 
 _reg("sample_part_updates", _sample_parts, compose.statement(f"""
 SELECT part_id, part_name, piece_part_price FROM dim_part_type1
-ORDER BY ({_KEY} * {SM.MIX} + 99) % {SM.MODULUS}, {_KEY} LIMIT {N_PART_UPDATES}""", ["dim_part_type1"]))
+ORDER BY {SM.seeded_number_sql(_KEY, 99)}, {_KEY} LIMIT {N_PART_UPDATES}""", ["dim_part_type1"]))
 _reg("sample_po_with_replacement", _sample_pos, compose.statement(f"""
 SELECT d.draw, p.po_id, p.part_id, p.expected_receipt_date, p.ordered_qty
 FROM (SELECT unnest(range((SELECT count(*) FROM silver_receivers))) AS draw) d
 JOIN (SELECT *, row_number() OVER (ORDER BY po_id) - 1 AS idx FROM silver_purchase_orders) p
-  ON p.idx = (d.draw * {SM.MIX} + 46) % (SELECT count(*) FROM silver_purchase_orders)""",
+  ON p.idx = {SM.seeded_number_sql('d.draw', 46)} % (SELECT count(*) FROM silver_purchase_orders)""",
     ["silver_receivers", "silver_purchase_orders"]))
 
 BRONZE_QUERIES = {FEEDS[folder].bronze.name: folder for folder in FEEDS}

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql.types import StructType
+
 
 @dataclass(frozen=True)
 class TableMeta:
@@ -28,11 +30,7 @@ class FeedSpec:
 
     @property
     def hinted(self) -> list[tuple[str, str]]:
-        out = []
-        for part in self.hints.split(","):
-            name, typ = part.strip().split(None, 1)
-            out.append((name, typ.strip()))
-        return out
+        return [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(self.hints).fields]
 
 
 def _bronze(name: str, cluster: tuple[str, ...], comment: str) -> TableMeta:

@@ -7,6 +7,7 @@ threshold that Spark checks itself) and still work on ``local[N]``.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,14 +51,18 @@ def apply_engine_conf(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it; a local
-    fallback is only set when the session has none (tests).
+    Read from ``spark.checkpoint.dir`` as the cluster names it.  Where it is
+    unset, a local session (one machine, as in tests) gets a folder of its own;
+    on a cluster that is an error, as executors don't share local folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = "/tmp/partsflow-checkpoints"
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="partsflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
@@ -65,5 +70,5 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh directory name under the shared root (never machine-local)."""
+    """A fresh directory name under the shared root."""
     return f"{shared_root(spark)}/partsflow/{label}-{uuid.uuid4().hex[:12]}"

@@ -52,14 +52,15 @@ def feed_path(root: str, folder: str) -> str:
 
 
 def physical_schema(spark: SparkSession, path: str) -> StructType:
-    """Schema of the files (one footer read; includes partition columns)."""
-    return spark.read.parquet(path).schema
+    """Merged schema of all files (their footers are read in parallel), so a
+    column that first appears in a later file is there; with partition columns."""
+    return spark.read.option("mergeSchema", "true").parquet(path).schema
 
 
 def read_feed(spark: SparkSession, root: str, folder: str, metadata: bool = True) -> DataFrame:
     """Batch read of a landing folder with declared casts (+ lineage)."""
     spec = FEEDS[folder]
-    df = spark.read.parquet(feed_path(root, folder))
+    df = spark.read.option("mergeSchema", "true").parquet(feed_path(root, folder))
     cols = declared_projection(df.schema, spec)
     return df.select(*cols, *(ingest_metadata() if metadata else []))
 

@@ -18,8 +18,7 @@ landed since the previous run and stops.  All checkpoints and tables live
 below the given roots (shared storage on a cluster), so a lost executor or a
 restarted driver resumes from the last committed micro-batch.  Replaying a
 micro-batch is harmless: the change-log write overwrites exactly the same
-(bucket, batch id) partitions and merging the same events into the state
-again is idempotent.
+(bucket, batch id) partitions and the state is recomputed from the log.
 """
 
 from __future__ import annotations
@@ -60,32 +59,32 @@ class Layout:
         return f"{self.root.rstrip('/')}/changelog/{entity}"
 
 
-def _run_available_now(df: DataFrame, path: str, checkpoint: str) -> None:
-    q = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", path).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+def _run_available_now(streams: list[tuple[DataFrame, str, str]]) -> None:
+    """Run independent (stream, table path, checkpoint) triggers side by side."""
+    running = [df.writeStream.format("parquet").outputMode("append")
+               .option("path", path).option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True).start() for df, path, checkpoint in streams]
+    for q in running:
+        q.awaitTermination()
+    for q in running:
+        if q.exception():
+            raise q.exception()
 
 
-def run_bronze(spark: SparkSession, landing_root: str, layout: Layout) -> None:
-    for folder, spec in FEEDS.items():
-        df = stream_feed(spark, landing_root, folder)
-        _run_available_now(df, layout.table(spec.bronze.name), layout.checkpoint(spec.bronze.name))
+def run_bronze(spark: SparkSession, landing_root: str, layout: Layout, max_files_per_trigger: int | None = None) -> None:
+    _run_available_now([(stream_feed(spark, landing_root, folder, max_files_per_trigger),
+                         layout.table(spec.bronze.name), layout.checkpoint(spec.bronze.name)) for folder, spec in FEEDS.items()])
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
     """Stream the rows appended to a Parquet table written by a file sink."""
-    schema = spark.read.parquet(path).schema
+    schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     return spark.readStream.schema(schema).parquet(path)
 
 
 def run_silver(spark: SparkSession, layout: Layout) -> None:
-    for name, spec in SILVER.items():
-        bronze = FEEDS[SILVER_SOURCE[name]].bronze.name
-        df = clean(stream_table(spark, layout.table(bronze)), spec)
-        _run_available_now(df, layout.table(name), layout.checkpoint(name))
+    _run_available_now([(clean(stream_table(spark, layout.table(FEEDS[SILVER_SOURCE[name]].bronze.name)), spec),
+                         layout.table(name), layout.checkpoint(name)) for name, spec in SILVER.items()])
 
 
 class CdcApply:
@@ -101,15 +100,14 @@ class CdcApply:
     Per micro-batch: (1) write the events under their own batch id (dynamic
     overwrite -> idempotent on replay); (2) list the touched buckets -- at
     most ``n_buckets`` small integers, the only values brought to the driver;
-    (3) for each dimension, recompute the keys of the micro-batch from their
-    *previous state + new events* with the batch operators (type 1: one row
-    per key; type 2: the key's collapsed history) and carry the other keys of
-    the touched buckets unchanged (semi / anti join on the batch's keys);
-    (4) dynamically overwrite those buckets (Spark stages the new files and
-    swaps the partitions at commit, so reading the old bucket in the same job
-    is safe).  Merging is idempotent (max per key / collapse per sequence),
-    so a replayed micro-batch changes nothing; late, duplicate and re-ordered
-    events need no special case.
+    (3) recompute those buckets of each dimension from the change log with the
+    batch operators and overwrite them.  The state is never read by the job
+    that replaces it, so a driver or executor lost at any point leaves nothing
+    that the replayed micro-batch does not recompute; a dimension whose state
+    is absent (new, or lost) is recomputed from the whole log.  Late, duplicate
+    and re-ordered events need no special case.
+
+    The bucket count is stored beside the change log; another count raises.
     """
 
     def __init__(self, spark: SparkSession, layout: Layout, entity: str, spec: CdcSpec,
@@ -124,45 +122,43 @@ class CdcApply:
     def bucket_of(self) -> F.Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.n_buckets))
 
-    def _prior_state(self, path: str, touched: list[int], columns: list[str]) -> DataFrame | None:
+    def _check_buckets(self) -> None:
+        path = self.layout.changelog(self.entity) + "__layout"
         try:
-            prior = self.spark.read.parquet(path)
-        except AnalysisException:  # first micro-batch: no state yet
-            return None
-        return prior.where(F.col(BUCKET).isin(touched)).select(*columns)
+            stored = self.spark.read.parquet(path).first()
+        except AnalysisException:  # first micro-batch
+            stored = None
+        if stored is None:
+            self.spark.createDataFrame([(self.n_buckets,)], "n_buckets int").coalesce(1).write.mode("overwrite").parquet(path)
+        elif stored["n_buckets"] != self.n_buckets:
+            raise ValueError(f"{self.entity} is stored in {stored['n_buckets']} buckets, not {self.n_buckets}")
+
+    def _has_state(self, path: str) -> bool:
+        try:
+            return bool(self.spark.read.parquet(path).columns)
+        except AnalysisException:
+            return False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        log = self.layout.changelog(self.entity)
+        self._check_buckets()
+        path = self.layout.changelog(self.entity)
         columns = batch.columns
-        keys = list(self.spec.keys)
         (batch.withColumn(BUCKET, self.bucket_of()).withColumn(BATCH_ID, F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET, BATCH_ID).parquet(log))
-        new = self.spark.read.parquet(log).where(F.col(BATCH_ID) == batch_id)
-        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-        if not touched:
+         .repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BUCKET, BATCH_ID).parquet(path))
+        try:
+            log = self.spark.read.parquet(path)
+        except AnalysisException:  # nothing but empty micro-batches so far
             return
-        new = new.select(*columns)
-        batch_keys = new.select(*keys).distinct()
+        touched = [r[0] for r in log.where(F.col(BATCH_ID) == batch_id).select(BUCKET).distinct().collect()]
         for dim, scd_type in self.dims.items():
-            path = self.layout.table(dim)
+            table = self.layout.table(dim)
+            events = log.where(F.col(BUCKET).isin(touched)) if self._has_state(table) else log
+            state = (scd1_state if scd_type == 1 else scd2_state)(events.select(*columns), self.spec)
             extra = [START_AT, END_AT] if scd_type == 2 else []
-            stored = [*columns, "__del", *extra]
-            prior = self._prior_state(path, touched, stored)
-            if prior is None:
-                events, carried = new, None
-            else:
-                # Only keys of this micro-batch change; the other keys of the
-                # touched buckets keep their state rows as they are.
-                events = new.unionByName(prior.join(batch_keys, keys, "left_semi").select(*columns))
-                carried = prior.join(batch_keys, keys, "left_anti")
-            state = scd1_state(events, self.spec) if scd_type == 1 else scd2_state(events, self.spec)
-            out = state.select(*stored)
-            if carried is not None:
-                out = out.unionByName(carried)
-            (out.withColumn(BUCKET, self.bucket_of())
+            (state.select(*columns, "__del", *extra).withColumn(BUCKET, self.bucket_of()).repartition(BUCKET)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(path))
+             .partitionBy(BUCKET).parquet(table))
 
 
 def read_dimension(spark: SparkSession, path: str, except_columns=("_op", "_sequence")) -> DataFrame:
@@ -191,17 +187,19 @@ def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) ->
             raise q.exception()
 
 
-def rebuild_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
+def rebuild_dimensions(spark: SparkSession, layout: Layout) -> None:
     """Recompute every dimension from the whole change log (recovery after a
-    lost or corrupted state table; also the way to change ``n_buckets``)."""
+    lost or corrupted state table), in the log's own buckets."""
     for source, (spec, dims) in _dimensions_by_source().items():
-        events = spark.read.parquet(layout.changelog(source)).drop(BUCKET, BATCH_ID)
+        log = spark.read.parquet(layout.changelog(source))
+        n_buckets = spark.read.parquet(layout.changelog(source) + "__layout").first()["n_buckets"]
+        events = log.drop(BUCKET, BATCH_ID)
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(n_buckets))
         for dim, scd_type in dims.items():
             state = scd1_state(events, spec) if scd_type == 1 else scd2_state(events, spec)
             extra = [START_AT, END_AT] if scd_type == 2 else []
-            # whole-table replacement (static), unlike the per-bucket merges
-            (state.select(*events.columns, "__del", *extra).withColumn(BUCKET, bucket)
+            # whole-table replacement (static), unlike the per-bucket overwrites
+            (state.select(*events.columns, "__del", *extra).withColumn(BUCKET, bucket).repartition(BUCKET)
              .write.mode("overwrite").option("partitionOverwriteMode", "static")
              .partitionBy(BUCKET).parquet(layout.table(dim)))
 
@@ -231,7 +229,7 @@ def register_tables(spark: SparkSession, layout: Layout) -> list[str]:
 
 
 def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buckets: int = 64,
-                 register: bool = False) -> Layout:
+                 register: bool = False, max_files_per_trigger: int | None = None) -> Layout:
     """One triggered update of the whole flow, in fixed stage order.
 
     ``landing_root`` defaults to the ``raw_data_path`` setting.
@@ -239,7 +237,7 @@ def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buc
     apply_engine_conf(spark)
     landing_root = raw_data_path(spark, landing_root)
     layout = Layout(root)
-    run_bronze(spark, landing_root, layout)
+    run_bronze(spark, landing_root, layout, max_files_per_trigger)
     run_silver(spark, layout)
     run_dimensions(spark, layout, n_buckets)
     run_facts(spark, layout)

@@ -22,7 +22,7 @@ WORKED = [("A", 1.0, "INSERT", 1), ("B", 2.0, "INSERT", 2), ("A", 3.0, "UPDATE",
 
 def test_worked_example(spark):
     df = events(spark, WORKED)
-    spec = CdcSpec(keys=["k"])
+    spec = CdcSpec(keys=["k"], tie_break=("updated_at",))
     assert sorted((r.k, r.price) for r in scd1(df, spec).collect()) == [("A", 3.0), ("C", 10.0)]
     got = sorted((r.k, r.price, r[START_AT], r[END_AT]) for r in scd2(df, spec).collect())
     assert got == [("A", 1.0, 1, 4), ("A", 2.5, 4, 5), ("A", 3.0, 5, None), ("B", 2.0, 2, 6),
@@ -38,7 +38,7 @@ def test_duplicates_ties_null_sequence_and_unknown_delete(spark):
             ("Z", None, "DELETE", 4),                                  # delete of unknown key
             ("U", 5.0, "UPDATE", 9)]                                   # upsert of unknown key
     df = events(spark, rows)
-    spec = CdcSpec(keys=["k"])
+    spec = CdcSpec(keys=["k"], tie_break=("updated_at",))
     assert sorted((r.k, r.price) for r in scd1(df, spec).collect()) == [("U", 5.0)]
     got = sorted((r.k, r.price, r[START_AT], r[END_AT]) for r in scd2(df, spec).collect())
     assert got == [("A", 1.0, 1, 2), ("U", 5.0, 9, None)]
@@ -47,8 +47,7 @@ def test_duplicates_ties_null_sequence_and_unknown_delete(spark):
 def test_composite_key(spark):
     df = spark.createDataFrame(
         [("x", 1, "v1", "INSERT", 1), ("x", 2, "w1", "INSERT", 2), ("x", 1, "v2", "UPDATE", 3)],
-        "a string, b int, val string, _op string, _sequence long").withColumn(
-        "updated_at", F.lit(None).cast("timestamp_ntz"))
+        "a string, b int, val string, _op string, _sequence long")
     spec = CdcSpec(keys=["a", "b"])
     assert sorted((r.a, r.b, r.val) for r in scd1(df, spec).collect()) == [("x", 1, "v2"), ("x", 2, "w1")]
     got = sorted((r.a, r.b, r.val, r[START_AT], r[END_AT]) for r in scd2(df, spec).collect())
@@ -91,7 +90,7 @@ def test_random_events_match_brute_force_and_are_order_free(spark, seed, direct)
     rows += rows[:10]  # duplicates
     t1, t2 = brute_scd(rows)
     # direct: one window per key; otherwise the bucketed look-up is forced
-    spec = CdcSpec(keys=["k"]) if direct else CdcSpec(keys=["k"], direct_limit=None)
+    spec = CdcSpec(keys=["k"], tie_break=("updated_at",)) if direct else CdcSpec(keys=["k"], tie_break=("updated_at",), bucketed=True)
     for order in (rows, list(reversed(rows)), rnd.sample(rows, len(rows))):
         df = events(spark, order).repartition(5)
         assert {(r.k, r.price) for r in scd1(df, spec).collect()} == t1
@@ -103,7 +102,7 @@ def test_scd1_equals_open_scd2_rows(spark):
     rows = [(rnd.choice("PQRS"), float(rnd.randint(1, 5)), rnd.choice(["INSERT", "UPDATE", "DELETE"]),
              rnd.randint(1, 60)) for _ in range(120)]
     df = events(spark, rows)
-    spec = CdcSpec(keys=["k"])
+    spec = CdcSpec(keys=["k"], tie_break=("updated_at",))
     d2 = scd2(df, spec)
     opened = Counter((r.k, r.price) for r in d2.where(F.col(END_AT).isNull()).collect())
     assert opened == Counter((r.k, r.price) for r in scd1(df, spec).collect())
@@ -125,7 +124,7 @@ def test_prefix_max_matches_brute_force(spark, shifts):
     for inclusive in (True, False):
         got = {(r.k, r.pos): r.out for r in
                prefix_max(df, ["k"], "pos", "v", "out", inclusive=inclusive, shifts=shifts,
-                          direct_limit=None).collect()}
+                          bucketed=True).collect()}
         for k, pos, _ in data:
             vals = [v for k2, p2, v in data if k2 == k and v is not None and (p2 <= pos if inclusive else p2 < pos)]
             assert got[(k, pos)] == (max(vals) if vals else None)
@@ -135,7 +134,7 @@ def test_next_position_is_lead(spark):
     rnd = random.Random(5)
     data = [(k, p) for k in ("x", "y") for p in rnd.sample(range(0, 1 << 50, 1 << 30), 40)]
     df = spark.createDataFrame(data, "k string, pos long")
-    got = {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt", direct_limit=None).collect()}
+    got = {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt", bucketed=True).collect()}
     assert got == {(r.k, r.pos): r.nxt for r in next_position(df, ["k"], "pos", "nxt").collect()}
     for k, p in data:
         later = [p2 for k2, p2 in data if k2 == k and p2 > p]
@@ -143,12 +142,12 @@ def test_next_position_is_lead(spark):
 
 
 def test_as_of_join(spark):
-    d2 = scd2(events(spark, WORKED), CdcSpec(keys=["k"]))
+    d2 = scd2(events(spark, WORKED), CdcSpec(keys=["k"], tie_break=("updated_at",)))
     probes = spark.createDataFrame([("A", 0), ("A", 3), ("A", 4), ("A", 100), ("B", 5), ("B", 6),
                                     ("C", 7), ("C", 8), ("Z", 1), ("A", 4)], "k string, s long")
     got = Counter((r.k, r.s, r.price) for r in as_of(probes, d2, ["k"], "s", ["price"]).collect())
     assert got == Counter((r.k, r.s, r.price) for r in
-                          as_of(probes, d2, ["k"], "s", ["price"], direct_limit=None).collect())
+                          as_of(probes, d2, ["k"], "s", ["price"], bucketed=True).collect())
     assert got == Counter([("A", 0, None), ("A", 3, 1.0), ("A", 4, 2.5), ("A", 4, 2.5), ("A", 100, 3.0),
                            ("B", 5, 2.0), ("B", 6, None), ("C", 7, None), ("C", 8, 10.0), ("Z", 1, None)])
 
@@ -188,3 +187,13 @@ def test_skew_safe_left_join_property(spark):
         assert got == expect
 
     check()
+
+
+def test_one_exchange_for_type_2_and_no_sort_aggregate(spark):
+    from partsflow.operators.cdc import scd1_state, scd2_state
+
+    df = events(spark, WORKED)
+    spec = CdcSpec(keys=["k"], tie_break=("updated_at",))
+    for build, exchanges in ((scd1_state, 1), (scd2_state, 1)):
+        plan = build(df, spec)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == exchanges and "Aggregate" not in plan, plan

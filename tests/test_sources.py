@@ -76,6 +76,18 @@ def test_sampling_sizes_and_distinctness(spark):
     assert sample_with_replacement(empty, 5, ["k"], seed=1).count() == 0
 
 
+def test_samples_are_samples(spark):
+    pop = spark.range(1, 2001).withColumnRenamed("id", "k")
+    got = sorted(r["k"] for r in sample_without_replacement(pop, 80, F.col("k"), seed=99).collect())
+    # Not a prefix: each half of the keys has its share.
+    assert len(set(got)) == 80 and got[-1] > 1900 and 20 <= sum(k <= 1000 for k in got) <= 60
+    assert got != sorted(r["k"] for r in sample_without_replacement(pop, 80, F.col("k"), seed=98).collect())
+    # With replacement: multiplicities vary as they should, and any row can come, whatever the population's factors.
+    for n in (1479, 1000):
+        drawn = sample_with_replacement(pop.where(F.col("k") <= n), 4 * n, ["k"], seed=46).groupBy("k").count().collect()
+        assert 0.97 * n <= len(drawn) < n and max(r["count"] for r in drawn) >= 10
+
+
 def test_clamped_lognormal_bounds(spark):
     v = spark.range(5000).select(clamped_lognormal(4.5, 1.0, 5.0, 2500.0, seed=42).alias("p"))
     r = v.agg(F.min("p").alias("lo"), F.max("p").alias("hi")).first()
