@@ -13,7 +13,9 @@ with one window more.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 import zlib
 from itertools import chain
 
@@ -26,6 +28,9 @@ from partsflow.llm.common import add_dense_index, materialize
 REMEMBERED_WORDS = 400_000  # in each of two generations
 JOINED = 1000  # new words encoded at once, between separators
 SEPARATOR = "\0"
+#: A plain word: letters of the Latin-1 range, then ASCII marks other than the apostrophe.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordTokenizer:
@@ -44,6 +49,57 @@ class WordTokenizer:
         self._separator = self._t.encode(SEPARATOR, add_special_tokens=False).ids
         self._now: dict[str, bytes] = {"": b""}
         self._before: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {"": b""}
+        self._model = self._bare_model(Tokenizer, path)
+
+    def _bare_model(self, kind, path: str):
+        """The model behind a split at blanks; None if the vocabulary's steps are others than plain words assume."""
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        steps = json.loads(self._t.to_str())
+        kinds = [[x["type"] for x in (steps[part] or {}).get(inner, [])]
+                 for part, inner in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if kinds != [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]:
+            return None
+        # The byte alphabet: printable Latin-1 stands for itself, the other bytes for U+0100 onward.
+        same = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self._bytes = [chr(i if i in same else next(others)) for i in range(256)]
+        bare = kind.from_file(path)
+        bare.normalizer = None
+        bare.pre_tokenizer = WhitespaceSplit()
+        bare.encode_special_tokens = True
+        encode = getattr(bare, "encode_batch_fast", bare.encode_batch)
+        mark = encode(["0"], add_special_tokens=False)[0].ids  # no piece holds a digit
+        return (encode, mark[0]) if len(mark) == 1 else None
+
+    def _encode_plain(self, words: list[str]) -> None:
+        encode, mark = self._model
+        if len(self._pieces) > REMEMBERED_WORDS:
+            self._pieces = {"": b""}
+        known, whole = self._pieces, LETTERS.fullmatch
+        found, new = [], {}
+        for w in words:
+            a = w.rstrip(MARKS)
+            if a.isalpha() and (a.isascii() or whole(a)):
+                b, a = w[len(a):], a.lower()
+                found.append((w, a, b))
+                if a not in known:
+                    new[a] = None
+                if b not in known:
+                    new[b] = None
+        new = list(new)
+        shown = [p if p.isascii() else "".join(map(self._bytes.__getitem__, p.encode())) for p in new]
+        groups = range(0, len(new), JOINED)
+        for at, e in zip(groups, encode([" 0 ".join(shown[i:i + JOINED]) for i in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+            raw, start = ids.tobytes(), 0
+            for p, end in zip(new[at:at + JOINED], ends):
+                known[p] = raw[4 * start:4 * end]
+                start = end + 1
+        for w, a, b in found:
+            self._now[w] = known[a] + known[b]
 
     def _encode_words(self, words: list[str]) -> None:
         plain = [w for w in words if SEPARATOR not in w] if len(self._separator) == 1 else []
@@ -70,6 +126,9 @@ class WordTokenizer:
                     self._now[w] = self._before[w]
                 else:
                     new.append(w)
+        if self._model:
+            self._encode_plain(new)
+            new = [w for w in new if w not in self._now]
         self._encode_words(new)
         get = self._now.__getitem__
         return [np.frombuffer(b"".join(map(get, ws)), dtype="<u4") for ws in words]

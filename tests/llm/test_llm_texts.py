@@ -251,3 +251,25 @@ def test_digests_of_contracts(spark):
     r = queries.op1_suffix(spark, SF).where("n_removed = 0").first()
     text = read_table(spark, SF, "documents").where(F.col("doc_id") == r["doc_id"]).first()["text"]
     assert r["kept_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_word_tokenizer_equals_the_library_on_odd_words():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from partsflow.llm.packing import WordTokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    letters = "abZÀÖßµªºÿéñü'!_-<|>.,%0 9́İΣς×÷­ \x00\x0b\n漢`~^"
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 30))) for _ in range(3000)]
+    texts += ["", "<|endoftext|>", "a<|endoftext|>", "it's we'll'S", "É!!!", "x" * 5000]
+    ours = WordTokenizer(path)
+    assert ours._model is not None
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        assert [list(i) for i in ours.encode_batch(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
