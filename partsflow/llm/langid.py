@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BLOCK = 512
 MAX_DOCS = 64        # labelled documents a language, at most
-MAX_DOC_CHARS = 4000  # of at most so many characters each
+MAX_DOC_CHARS = 4000  # a slice of at most so many characters of each
 MAX_CHARS = 24_000   # normalised characters a language, at most
 MAX_ALPHABET = 250   # commonest letters of the samples; others count as unknown
 
@@ -184,21 +184,26 @@ class Model:
 
 def learn(docs: DataFrame, learn_on: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on a bounded sample: for each language the ``MAX_DOCS`` labelled
-    documents of at most ``MAX_DOC_CHARS`` characters whose hashed ids are
-    smallest, cut off at ``MAX_CHARS`` symbols.  The languages present are
-    read from all rows; the sample is what reaches the driver."""
-    usable = (docs.where(learn_on).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-              .where(F.length(text_col).between(1, MAX_DOC_CHARS)))
-    order = [F.xxhash64(F.col(id_col).cast("string")), F.col(id_col)]
-    ranked = usable.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
-                           F.row_number().over(Window.partitionBy(lang_col).orderBy(*order)).alias("r"))
-    picked = ranked.where(F.col("r") <= MAX_DOCS).select("id", "lang", "r").collect()
-    place = {(r["id"], r["lang"]): r["r"] for r in picked}
-    rows = (usable.where(F.col(id_col).isin([r["id"] for r in picked]))
-            .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).distinct().collect()
-            if picked else [])
+    documents whose hashed ids are smallest (those with a letter first), of
+    longer ones a slice of ``MAX_DOC_CHARS`` characters from a hashed place (from
+    the first letter, if that slice has none), cut off at ``MAX_CHARS`` symbols.
+    Every language with a letter in a labelled text is learned, whatever the
+    lengths and ids; the sample is what reaches the driver."""
+    usable = (docs.where(learn_on).where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
+              .select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("t"),
+                      F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("k")))
+    order = [(~F.col("t").rlike(r"\p{L}")).alias("bare"), F.xxhash64(F.col("id").cast("string")), F.col("id"), F.col("k")]
+    keys = usable.select("lang", "k", *[c.alias(f"o{i}") for i, c in enumerate(order)])
+    ranked = keys.select("lang", "k", F.row_number().over(Window.partitionBy("lang").orderBy("o0", "o1", "o2", "o3")).alias("r"))
+    place = {(r["k"], r["lang"]): r["r"] for r in ranked.where(F.col("r") <= MAX_DOCS).collect()}
+    spare = F.greatest(F.length("t") - MAX_DOC_CHARS, F.lit(0)) + 1
+    some = F.substring(F.col("t"), (F.pmod(F.col("k"), spare) + 1).cast("int"), F.lit(MAX_DOC_CHARS))
+    lead = F.length(F.regexp_extract("t", r"(?s)^\P{L}*", 0))
+    part = F.when(some.rlike(r"\p{L}"), some).otherwise(F.substring(F.col("t"), lead + 1, F.lit(MAX_DOC_CHARS)))
+    rows = (usable.where(F.col("k").isin(sorted({k for k, _ in place}))).select("k", "lang", part.alias("t")).distinct().collect()
+            if place else [])
     samples: dict[str, list[str]] = {}
-    for r in sorted((r for r in rows if (r["id"], r["lang"]) in place), key=lambda r: (place[r["id"], r["lang"]], r["t"])):
+    for r in sorted((r for r in rows if (r["k"], r["lang"]) in place), key=lambda r: (place[r["k"], r["lang"]], r["t"])):
         samples.setdefault(r["lang"], []).append(r["t"])
     return Model(samples)
 
