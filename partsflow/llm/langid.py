@@ -6,7 +6,8 @@ occur in that sample (a letter that the sample lacks is a phrase of its own);
 phrases * log2(sample length) / characters estimates the cross entropy, and the
 language with the smallest estimate wins.
 
-The automata are dense transition tables (states x alphabet).  A task parses
+The automata are dense transition tables (states x commonest letters) with sorted
+lists of the transitions by all other letters of the samples.  A task parses
 many blocks of ``BLOCK`` characters in lock step with array operations: the
 parse starts anew at each block, in every language alike, so whole texts of any
 length are covered in bounded memory.
@@ -24,7 +25,7 @@ BLOCK = 512
 MAX_DOCS = 64        # labelled documents a language, at most
 MAX_DOC_CHARS = 4000  # a slice of at most so many characters of each
 MAX_CHARS = 24_000   # normalised characters a language, at most
-MAX_ALPHABET = 250   # commonest letters of the samples; others count as unknown
+DENSE = 250          # commonest letters of the samples, with a column in the dense tables
 
 
 def is_held_out(id_col: str = "doc_id") -> Column:
@@ -33,7 +34,8 @@ def is_held_out(id_col: str = "doc_id") -> Column:
 
 
 class Codes:
-    """Characters to symbols: 0 a run of non-letters, 1.. the alphabet, last an unknown letter."""
+    """Characters to symbols: 0 a run of non-letters, 1.. the alphabet (every letter
+    of the samples), last any other letter, which no automaton has."""
 
     def __init__(self, alphabet: list[str]):
         self.alphabet = alphabet
@@ -42,7 +44,7 @@ class Codes:
 
     def lut(self) -> np.ndarray:
         if self._lut is None:
-            lut = np.zeros(0x110000, dtype=np.uint8)
+            lut = np.zeros(0x110000, dtype=np.uint16 if self.n <= 1 << 16 else np.uint32)
             lut[[i for i in range(0x110000) if chr(i).isalpha()]] = self.n - 1
             for k, c in enumerate(self.alphabet):
                 lut[ord(c)] = k + 1
@@ -65,10 +67,11 @@ class Codes:
         return sym[keep], counts
 
 
-def suffix_automaton(codes: list[int], n_symbols: int) -> np.ndarray:
-    """Transition table of the suffix automaton of a code sequence.  Row 0 is
-    the dead state, row 1 the root; entry 0 means that the longer string doesn't
-    occur."""
+def suffix_automaton(codes: list[int], n_dense: int, n_symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Transitions of the suffix automaton of a code sequence: a table for the
+    symbols below ``n_dense``, with a last column of zeros for all others, and
+    sorted keys (state * n_symbols + symbol) and targets for those.  Row 0 is the
+    dead state, row 1 the root; 0 means that the longer string doesn't occur."""
     nxt: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -95,11 +98,16 @@ def suffix_automaton(codes: list[int], n_symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.zeros((len(nxt) + 1, n_symbols), dtype=np.int32)
+    table = np.zeros((len(nxt) + 1, n_dense + 1), dtype=np.int32)
+    sparse: list[tuple[int, int]] = []
     for s, out in enumerate(nxt):
         for c, t in out.items():
-            table[s + 1, c] = t + 1
-    return table
+            if c < n_dense:
+                table[s + 1, c] = t + 1
+            else:
+                sparse.append(((s + 1) * n_symbols + c, t + 1))
+    sparse.sort()
+    return table, np.array([k for k, _ in sparse], dtype=np.int64), np.array([t for _, t in sparse], dtype=np.int32)
 
 
 class Model:
@@ -112,17 +120,17 @@ class Model:
                 for c in t.lower():
                     if c.isalpha():
                         counts[c] = counts.get(c, 0) + 1
-        best = sorted(counts, key=lambda c: (-counts[c], c))[:MAX_ALPHABET]
-        self.codes = Codes(sorted(best))
+        best = sorted(counts, key=lambda c: (-counts[c], c))
+        self.codes = Codes(sorted(best[:DENSE]) + best[DENSE:])
         self.langs: list[str] = []
-        self.tables: list[np.ndarray] = []
+        self.tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.weight: list[float] = []
         for lang in sorted(samples):
             sym, _ = self.codes.encode(samples[lang])
             sym = sym[:max_chars]
             if (sym > 0).any():
                 self.langs.append(lang)
-                self.tables.append(suffix_automaton(sym.tolist(), self.codes.n))
+                self.tables.append(suffix_automaton(sym.tolist(), min(len(best), DENSE) + 1, self.codes.n))
                 self.weight.append(math.log2(len(sym) + 1))
 
     def state(self) -> tuple:
@@ -135,6 +143,18 @@ class Model:
         m.codes, m.langs, m.tables, m.weight = Codes(state[0]), *state[1:]
         return m
 
+    def _next(self, i: int, state: np.ndarray | int, c: np.ndarray) -> np.ndarray:
+        """States of automaton i after the symbols ``c``; 0 where there is none."""
+        table, keys, targets = self.tables[i]
+        dense = table.shape[1] - 1
+        t = table[state, np.minimum(c, dense)]
+        rare = np.flatnonzero(c >= dense) if len(keys) else keys
+        if len(rare):
+            key = (state[rare].astype(np.int64) if isinstance(state, np.ndarray) else state) * self.codes.n + c[rare]
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            t[rare] = np.where(keys[at] == key, targets[at], 0)
+        return t
+
     def phrases(self, sym: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """(texts, languages): phrases of the cross parsing of each text."""
         out = np.zeros((len(counts), len(self.langs)), dtype=np.int64)
@@ -153,12 +173,12 @@ class Model:
         found = [np.zeros(len(doc), dtype=np.int64) for _ in self.langs]
         for j in range(int(size[0])):
             k = active[j]
-            c = sym[start[:k] + j]
-            for i, table in enumerate(self.tables):
-                t = table[state[i][:k], c]
+            c = sym[start[:k] + j].astype(np.int64)
+            for i in range(len(self.tables)):
+                t = self._next(i, state[i][:k], c)
                 dead = np.flatnonzero(t == 0)
                 found[i][dead] += 1
-                t[dead] = table[1, c[dead]]
+                t[dead] = self._next(i, 1, c[dead])
                 state[i][:k] = t
         for i in range(len(self.langs)):
             out[:, i] = np.bincount(doc, weights=found[i], minlength=len(counts)).astype(np.int64)
