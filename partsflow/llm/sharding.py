@@ -12,7 +12,7 @@ has a shard alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from partsflow.llm.common import add_dense_index, fresh, materialize
 
@@ -51,31 +51,35 @@ def shard(docs: DataFrame, limit: int, key_col: str = "doc_id", text_col: str =
     replaced, others are kept.
     """
     h, b, depth, prefix = fresh(docs, "h"), fresh(docs, "b"), fresh(docs, "depth"), fresh(docs, "prefix")
-    over, entry, row = fresh(docs, "over"), fresh(docs, "entry"), fresh(docs, "row")
+    over, entry, row, top = fresh(docs, "over"), fresh(docs, "entry"), fresh(docs, "row"), fresh(docs, "top")
     keep = [c for c in docs.columns if c not in (shard_col, bytes_col)]
     src = docs.select("*", hash32(F.col(key_col)).alias(h), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias(b))
-    sizes = materialize(src.groupBy(F.col(h).alias("h")).agg(F.sum(b).alias("bytes")), "shard-sizes")
+    sizes = materialize(src.groupBy(F.col(h).alias("h")).agg(
+        F.sum(b).alias("bytes"), F.max(F.when(F.col(b) * 2 <= limit, F.col(b))).alias("most")), "shard-sizes")
     leaves = materialize(directory(sizes, limit, max_depth), "shard-directory")
     depths = sorted(r["depth"] for r in leaves.select("depth").distinct().collect())
     # The hash tells the leaf: one equality join on the smallest depth whose prefix is a leaf.
     of_hash = None
     for d in depths:
         hit = sizes.withColumn("prefix", F.shiftright("h", 32 - d)).join(
-            leaves.where(F.col("depth") == d), "prefix").select("h", "depth", "prefix", leaves["bytes"].alias("total"))
+            leaves.where(F.col("depth") == d), "prefix").select("h", "depth", "prefix", "most", leaves["bytes"].alias("total"))
         of_hash = hit if of_hash is None else of_hash.union(hit)
     if of_hash is None:
         return docs.select(*keep, F.lit("").alias(shard_col), F.lit(0).cast("long").alias(bytes_col))
     of_hash = materialize(of_hash, "shard-of-hash")
     of_hash = of_hash.select(F.col("h").alias(h), F.col("depth").alias(depth), F.col("prefix").alias(prefix),
-                             (F.col("total") > limit).alias(over))
-    named = src.join(of_hash, h).withColumn(entry, F.substring(F.lpad(F.bin(F.col(h)), 32, "0"), F.lit(1), F.col(depth)))
+                             "most", (F.col("total") > limit).alias(over))
+    named = src.join(of_hash.drop("most"), h).withColumn(entry, F.substring(F.lpad(F.bin(F.col(h)), 32, "0"), F.lit(1), F.col(depth)))
     fits = named.where(~F.col(over)).select(*keep, F.col(entry).alias(shard_col), F.col(b).alias(bytes_col))
     if not of_hash.where(F.col(over)).limit(1).count():
         return fits
     # Overflow: runs of the limit's half cannot exceed it with rows of at most half; larger rows stand alone.
-    rows = named.where(F.col(over)).withColumn(row, F.xxhash64(*[F.col(c).cast("string") for c in keep]))
+    # The largest row that shares a shard, by entry, comes from the histogram: no text moves for it.
+    hot = of_hash.where(F.col(over))
+    hot = materialize(hot.join(hot.groupBy(depth, prefix).agg(F.max("most").alias(top)), [depth, prefix]).select(h, top), "shard-hot")
+    rows = named.where(F.col(over)).join(hot, h).withColumn(row, F.xxhash64(*[F.col(c).cast("string") for c in keep]))
     small = add_dense_index(rows.where(F.col(b) * 2 <= limit), [F.col(entry), F.col(row)], row + "i")
-    per = F.lit(max(1, limit)) / F.greatest(F.max(b).over(Window.partitionBy(entry)), F.lit(1))
+    per = F.lit(max(1, limit)) / F.greatest(F.col(top), F.lit(1))
     small = small.withColumn(over + "n", F.floor(F.col(row + "i") / F.greatest(F.floor(per), F.lit(1))).cast("string"))
     big = add_dense_index(rows.where(F.col(b) * 2 > limit), [F.col(entry), F.col(row)], row + "i")
     big = big.withColumn(over + "n", F.concat(F.lit("r"), F.col(row + "i").cast("string")))
