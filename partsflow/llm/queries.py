@@ -118,6 +118,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1, capacity=2048)
 
 
+#: Token limit of op11.
+TOKEN_LIMIT = 1024
+
+
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.tokencounts import count_at, prefix_counts
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    n = count_at(F.col("counts"), F.length("text")).cast("long")
+    return (prefix_counts(docs, tokenizer_path("byte_bpe_50k.json"))
+            .select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), n.alias("n_tokens"))
+            .withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
     "op2_nearest": op2_nearest,
@@ -129,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
+    "op11_tokens": op11_tokens,
 }
 
 ORACLES: dict[str, str] = {"op6_shards": OP6_SQL}
