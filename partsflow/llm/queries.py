@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from partsflow.llm.common import materialize, read_table
 
@@ -132,6 +132,39 @@ def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.runs import periodic_runs
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs(docs.withColumn("text", _made_periodic()), min_length=12)
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length"),
+        (-F.col("top.period")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def _made_periodic() -> Column:
+    """The text of op12: with h = crc32(doc_id), of each text with h % 10 = 0 the
+    words from a on repeat the p words at a.  Other texts, and those without an id, stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != "")
+
+    def rebuilt(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return F.concat_ws(" ", F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p))))
+
+    # Bound once, so that the words are not split again for each place.
+    whole = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, rebuilt(w)).otherwise("")), F.lit(0))
+    return F.when((h % 10 == 0) & F.col("text").isNotNull(), whole).otherwise(F.col("text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
     "op2_nearest": op2_nearest,
@@ -144,6 +177,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_packing": op10_packing,
     "op11_tokens": op11_tokens,
+    "op12_runs": op12_runs,
 }
 
 ORACLES: dict[str, str] = {"op6_shards": OP6_SQL}
