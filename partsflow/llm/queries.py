@@ -165,6 +165,60 @@ def _made_periodic() -> Column:
     return F.when((h % 10 == 0) & F.col("text").isNotNull(), whole).otherwise(F.col("text"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from partsflow.llm.convtrie import prefix_trie, sequences
+
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie(_rebuilt(sequences(turns), sequences(turns.where(F.col("conv_id") % 100 == 0))))
+
+
+def _rebuilt(seqs: DataFrame, bases: DataFrame) -> DataFrame:
+    """The conversations of op13: c begins with the first crc32(c) % 6 turns of c - c % 100."""
+    heads = bases.select(F.col("conv_id").alias("__base"), F.slice("steps", 1, 5).alias("__head"))
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    joined = seqs.join(heads, F.col("conv_id") - F.col("conv_id") % 100 == F.col("__base"), "left")
+    begin = F.slice(F.coalesce("__head", F.slice("steps", 1, 0)), F.lit(1), h)
+    return joined.select("conv_id", F.concat(begin, F.slice("steps", h + 1, F.greatest(F.size("steps") - h, F.lit(0)))).alias("steps"))
+
+
+#: The check value is spelled out bit by bit: a number of 0 or more is a byte to add, -1 a step of one bit.
+OP13_SQL = """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT c, max(pos) AS n, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+           flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h
+  FROM t GROUP BY c),
+heads AS (
+  SELECT ids.c, ids.h, least(ids.h, coalesce(b.n, 0)) AS k FROM ids LEFT JOIN ids b ON b.c = ids.c - ids.c % 100),
+turns AS (
+  SELECT heads.c, t.pos AS d, t.role, t.text FROM heads JOIN t ON t.c = heads.c - heads.c % 100 AND t.pos <= heads.k
+  UNION ALL
+  SELECT heads.c, heads.k + t.pos - heads.h, t.role, t.text FROM heads JOIN t ON t.c = heads.c AND t.pos > heads.h),
+visits AS (
+  SELECT c, d, length(text) AS size, list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY c ORDER BY d) AS path FROM turns
+  UNION ALL
+  SELECT c, 0, 0, CAST([] AS VARCHAR[]) FROM ids),
+last AS (SELECT c, max(d) AS d FROM visits GROUP BY c),
+nodes AS (
+  SELECT path, any_value(v.d) AS d, min(v.c) AS conv_id, count(*) AS n, any_value(size) AS size,
+         string_agg(CAST(v.c AS VARCHAR), ',' ORDER BY v.c) FILTER (WHERE last.d = v.d) AS ends
+  FROM visits v JOIN last USING (c) GROUP BY path),
+kids AS (SELECT path[1:d - 1] AS path, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids USING (path)),
+subtrees AS (
+  SELECT path[1:a] AS path, sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * size) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY 1)
+SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(x.n AS BIGINT) AS n_convs, CAST(x.kids AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM full_nodes x JOIN subtrees USING (path) LEFT JOIN nodes up ON x.d > 0 AND up.path = x.path[1:x.d - 1]
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": op1_suffix,
     "op2_nearest": op2_nearest,
@@ -178,6 +232,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_tokens": op11_tokens,
     "op12_runs": op12_runs,
+    "op13_trie": op13_trie,
 }
 
-ORACLES: dict[str, str] = {"op6_shards": OP6_SQL}
+ORACLES: dict[str, str] = {"op6_shards": OP6_SQL, "op13_trie": OP13_SQL}
