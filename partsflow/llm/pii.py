@@ -10,7 +10,10 @@ coreferent and get the same surrogate.
 
 Distinctness is checked over the whole corpus: of the entities that share a
 surrogate one keeps it, the others, and those whose surrogate is itself an entity
-of the corpus, try again with the next attempt until none is left.
+of the corpus, try again with the next attempt until none is left.  Where a format
+has too few surrogates, later attempts are longer by keyed characters, one more at
+each attempt, so the search ends whatever the corpus holds.  A secret without a
+letter or digit (a form's ``Password: ________``) is none.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -40,7 +44,7 @@ _NEXT = re.compile(r"[+(]?\d+|[+(]", re.ASCII)
 _WORD = re.compile(r"\w")
 _IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)
 _TOKEN = re.compile(
-    r"(?i:\b(?:token|secret|api[_-]?key|apikey|access[_-]?key|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?)(?P<value>[A-Za-z0-9_\-./+]{8,}=*)"
+    r"(?i:\b(?:token|secret|api[_-]?key|apikey|access[_-]?key|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?)(?P<value>(?=[_\-./+]*[A-Za-z0-9])[A-Za-z0-9_\-./+]{8,}=*)"
     r"|(?<!\w)(?P<known>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{20,}|xox[abp]-[A-Za-z0-9-]{10,})(?!\w)")
 _TOKEN_HINTS = ("token", "secret", "key", "passw", "pwd", "akia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox")
 # Titles and the gender that they give.
@@ -178,8 +182,33 @@ def _like(c: str, s: _Stream) -> str:
 
 
 def surrogate(key: bytes, kind: str, canon: str, attempt: int) -> str:
-    """The canonical form that takes the place of ``canon``."""
+    """The canonical form that takes the place of ``canon``; from an attempt on that
+    depends on how many forms its format has, it is longer than ``canon``."""
     s = _Stream(key, kind, canon, attempt)
+    new = _formatted(s, kind, canon)
+    short = kind in ("email", "token") and sum(c.isalnum() for c in canon.split("@")[0]) < 8
+    extra = attempt - (NARROW if short else ROOMY)
+    if extra <= 0:
+        return new
+    if kind in ("phone", "card", "ssn"):
+        return new + "".join(str(s.below(10)) for _ in range(extra))
+    if kind == "ip":
+        return new + "".join(f".{1 + s.below(254)}" for _ in range(extra))
+    if kind == "name":
+        syllables = SYLLABLES[_script(canon[2:])]
+        return new + "".join(syllables[s.below(len(syllables))] for _ in range(extra))
+    more = "".join("abcdefghijklmnopqrstuvwxyz"[s.below(26)] for _ in range(extra))
+    if kind == "email":
+        local, at, host = new.partition("@")
+        return local + more + at + host
+    return new + (more.upper() if kind == "iban" else more)
+
+
+#: Attempts within the format, for long and for short entities.
+ROOMY, NARROW = 16, 2
+
+
+def _formatted(s: _Stream, kind: str, canon: str) -> str:
     if kind == "email":
         local = canon.split("@")[0]
         host = "".join("abcdefghijklmnopqrstuvwxyz"[s.below(26)] for _ in range(8))
@@ -221,7 +250,7 @@ def render(kind: str, raw: str, new: str) -> str:
         chars = [c for c in raw if c.isalnum()]
         keep = len(chars) - len(new)  # a country code stands before the canonical digits
         fill = iter(chars[:keep] + list(new)) if keep >= 0 else iter(new)
-        return "".join(next(fill) if c.isalnum() else c for c in raw)
+        return "".join([next(fill) if c.isalnum() else c for c in raw] + list(fill))
     if kind == "email":
         return new.upper() if raw.isupper() else new
     if kind == "name":
@@ -256,11 +285,12 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return src.mapInPandas(run, "k long, kind string, canon string")
 
 
-def assign(entities: DataFrame, key: bytes, max_attempts: int = 50) -> DataFrame:
+def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, canon, attempt) of the entities that need an attempt above 0.
 
     After it no two entities of a kind share a surrogate, and no surrogate is an
-    entity of the corpus."""
+    entity of the corpus.  There is no last attempt: longer surrogates always come
+    to an end."""
     def run(attempt):
         def f(batches):
             for b in batches:
@@ -270,7 +300,7 @@ def assign(entities: DataFrame, key: bytes, max_attempts: int = 50) -> DataFrame
 
     known = entities.select("kind", F.col("canon").alias("new"))
     pending, taken, moved = entities.select("kind", "canon"), None, []
-    for attempt in range(max_attempts):
+    for attempt in count():
         tried = materialize(pending.mapInPandas(run(attempt), "kind string, canon string, new string"), "pii-tried")
         free = tried.join(known, ["kind", "new"], "left_anti")
         if taken is not None:
@@ -282,8 +312,6 @@ def assign(entities: DataFrame, key: bytes, max_attempts: int = 50) -> DataFrame
         pending = tried.join(won, ["kind", "canon"], "left_anti").select("kind", "canon")
         if pending.isEmpty():
             break
-    else:
-        raise RuntimeError("surrogates still collide; a kind has more entities than surrogates")
     out = entities.select("kind", "canon", F.lit(0).alias("attempt")).limit(0)
     for m in moved:
         out = out.union(m)
@@ -296,7 +324,8 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
 
     Null and empty texts, and texts without an entity, stay as they are; repeated
     rows are treated alike; ids are not used but to name rows, so null ids do no
-    harm; an empty table gives an empty one.  Texts pass through no shuffle unless
+    harm; an empty table gives an empty one; a text is handled whole, whatever its
+    length.  Texts pass through no shuffle unless
     the entities with colliding surrogates outgrow a broadcast.
     """
     secret = key.encode()
