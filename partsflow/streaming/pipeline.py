@@ -5,43 +5,41 @@
   appended to a Parquet table.
 * **silver**: stream over the bronze table, ``clean`` (filter + projection),
   appended to a Parquet table.  Stateless and narrow: no shuffle.
-* **dimensions**: ``foreachBatch`` over the silver change streams (see
-  ``CdcApply``): the micro-batch is appended to a change log partitioned by
-  key bucket and batch id; the touched buckets are recomputed from their
-  previous state plus the new events with the batch ``scd1``/``scd2``
-  operators and replaced with a dynamic partition overwrite.
+* **dimensions**: ``foreachBatch`` over the silver change streams: each
+  micro-batch is spliced into the entity's ``DimensionStore`` (type 1 and type 2
+  are two readings of one store) and published by a commit record.
 * **facts**: batch joins over the silver tables and type-1 dimensions,
   overwritten on every run (materialised views are recomputed).
 
 Every stream uses ``trigger(availableNow=True)``: a run processes what has
 landed since the previous run and stops.  All checkpoints and tables live
 below the given roots (shared storage on a cluster), so a lost executor or a
-restarted driver resumes from the last committed micro-batch.  Replaying a
-micro-batch is harmless: the change-log write overwrites exactly the same
-(bucket, batch id) partitions and the state is recomputed from the log.
+restarted driver resumes from the last committed micro-batch.  A replayed
+micro-batch is recognised in the change log or spliced once more, with the same
+result.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partsflow.operators.cdc import END_AT, START_AT, CdcSpec, scd1_state, scd2_state
+from partsflow.operators.cdc import END_AT, START_AT, CdcSpec
 from partsflow.operators.clean import clean
 from partsflow.plans import facts as FX
 from partsflow.plans.batch import DIMENSIONS
 from partsflow.plans.silver import SILVER
 from partsflow.schemas import FEEDS, SILVER_SOURCE, TABLES
 from partsflow.session import apply_engine_conf
+from partsflow.sinks.commits import Files
 from partsflow.sinks.tables import register_table, write_table
 from partsflow.sources.files import raw_data_path, stream_feed
+from partsflow.streaming.dimension_store import BATCH_ID, BUCKET, DimensionStore
 
-BUCKET = "__bucket"
-BATCH_ID = "__batch_id"
-
+NOTE = "_dimension.json"
 
 @dataclass(frozen=True)
 class Layout:
@@ -55,8 +53,8 @@ class Layout:
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/checkpoints/{name}"
 
-    def changelog(self, entity: str) -> str:
-        return f"{self.root.rstrip('/')}/changelog/{entity}"
+    def dimension_store(self, entity: str) -> str:
+        return f"{self.root.rstrip('/')}/dimensions/{entity}"
 
 
 def _run_available_now(streams: list[tuple[DataFrame, str, str]]) -> None:
@@ -88,83 +86,44 @@ def run_silver(spark: SparkSession, layout: Layout) -> None:
 
 
 class CdcApply:
-    """``foreachBatch`` handler maintaining a type-1 and a type-2 dimension.
-
-    Storage:
-      change log   ``changelog/<entity>/__bucket=b/__batch_id=i`` (every event,
-                   append-only: audit trail and the source for a full rebuild)
-      dimensions   ``tables/<dim>/__bucket=b`` -- the dimension *state*: the
-                   event columns (``_op``, ``_sequence``) and a delete marker
-                   are kept, so the state is itself a valid set of events.
-
-    Per micro-batch: (1) write the events under their own batch id (dynamic
-    overwrite -> idempotent on replay); (2) list the touched buckets -- at
-    most ``n_buckets`` small integers, the only values brought to the driver;
-    (3) recompute those buckets of each dimension from the change log with the
-    batch operators and overwrite them.  The state is never read by the job
-    that replaces it, so a driver or executor lost at any point leaves nothing
-    that the replayed micro-batch does not recompute; a dimension whose state
-    is absent (new, or lost) is recomputed from the whole log.  Late, duplicate
-    and re-ordered events need no special case.
-
-    The bucket count is stored beside the change log; another count raises.
+    """``foreachBatch`` handler maintaining the dimensions of one entity.
+
+    Type-1 and type-2 dimensions are readings of one ``DimensionStore``; a table
+    folder holds only a note that names store and type, so a dimension that is added
+    later is there at once.  The bucket count is part of the store; another raises.
     """
 
     def __init__(self, spark: SparkSession, layout: Layout, entity: str, spec: CdcSpec,
                  dims: dict[str, int], n_buckets: int = 64):
-        self.spark = spark
-        self.layout = layout
-        self.entity = entity
         self.spec = spec
         self.dims = dims
-        self.n_buckets = n_buckets
-
-    def bucket_of(self) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.spec.keys]), F.lit(self.n_buckets))
-
-    def _check_buckets(self) -> None:
-        path = self.layout.changelog(self.entity) + "__layout"
-        try:
-            stored = self.spark.read.parquet(path).first()
-        except AnalysisException:  # first micro-batch
-            stored = None
-        if stored is None:
-            self.spark.createDataFrame([(self.n_buckets,)], "n_buckets int").coalesce(1).write.mode("overwrite").parquet(path)
-        elif stored["n_buckets"] != self.n_buckets:
-            raise ValueError(f"{self.entity} is stored in {stored['n_buckets']} buckets, not {self.n_buckets}")
-
-    def _has_state(self, path: str) -> bool:
-        try:
-            return bool(self.spark.read.parquet(path).columns)
-        except AnalysisException:
-            return False
+        self.layout = layout
+        self.store = DimensionStore(spark, layout.dimension_store(entity), spec, n_buckets)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self._check_buckets()
-        path = self.layout.changelog(self.entity)
-        columns = batch.columns
-        (batch.withColumn(BUCKET, self.bucket_of()).withColumn(BATCH_ID, F.lit(batch_id))
-         .repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET, BATCH_ID).parquet(path))
-        try:
-            log = self.spark.read.parquet(path)
-        except AnalysisException:  # nothing but empty micro-batches so far
-            return
-        touched = [r[0] for r in log.where(F.col(BATCH_ID) == batch_id).select(BUCKET).distinct().collect()]
+    def _note_dimensions(self) -> None:
         for dim, scd_type in self.dims.items():
-            table = self.layout.table(dim)
-            events = log.where(F.col(BUCKET).isin(touched)) if self._has_state(table) else log
-            state = (scd1_state if scd_type == 1 else scd2_state)(events.select(*columns), self.spec)
-            extra = [START_AT, END_AT] if scd_type == 2 else []
-            (state.select(*columns, "__del", *extra).withColumn(BUCKET, self.bucket_of()).repartition(BUCKET)
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(table))
+            path = f"{self.layout.table(dim)}/{NOTE}"
+            if not self.store.commits.files.exists(path):
+                note = {"store": self.store.root, "type": scd_type, "keys": list(self.spec.keys), "sequence_by": self.spec.sequence_by,
+                        "except_columns": list(self.spec.except_columns)}
+                self.store.commits.files.write(path, json.dumps(note))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.store.apply(batch, batch_id)
+        self._note_dimensions()
 
 
 def read_dimension(spark: SparkSession, path: str, except_columns=("_op", "_sequence")) -> DataFrame:
-    """A stored dimension: live rows only, without event and storage columns."""
-    df = spark.read.parquet(path)
-    return df.where(~F.col("__del")).drop("__del", BUCKET, *except_columns)
+    """A stored dimension as of the newest commit: live rows only, without event and
+    storage columns.  ``path`` may also be a plain Parquet folder of ``scd1_state`` or
+    ``scd2_state`` rows."""
+    files = Files(spark)
+    if not files.exists(f"{path}/{NOTE}"):
+        df = spark.read.parquet(path)
+        return df.where(~F.col("__del")).drop("__del", BUCKET, *except_columns)
+    note = json.loads(files.read(f"{path}/{NOTE}"))
+    spec = CdcSpec(keys=note["keys"], sequence_by=note["sequence_by"], except_columns=note["except_columns"])
+    return DimensionStore(spark, note["store"], spec).dimension(note["type"])
 
 
 def _dimensions_by_source() -> dict[str, tuple[CdcSpec, dict[str, int]]]:
@@ -185,23 +144,16 @@ def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) ->
         q.awaitTermination()
         if q.exception():
             raise q.exception()
+        if handler.store.commits.latest() is not None:
+            handler.store.repair()
+            handler.store.vacuum()
 
 
 def rebuild_dimensions(spark: SparkSession, layout: Layout) -> None:
-    """Recompute every dimension from the whole change log (recovery after a
-    lost or corrupted state table), in the log's own buckets."""
-    for source, (spec, dims) in _dimensions_by_source().items():
-        log = spark.read.parquet(layout.changelog(source))
-        n_buckets = spark.read.parquet(layout.changelog(source) + "__layout").first()["n_buckets"]
-        events = log.drop(BUCKET, BATCH_ID)
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in spec.keys]), F.lit(n_buckets))
-        for dim, scd_type in dims.items():
-            state = scd1_state(events, spec) if scd_type == 1 else scd2_state(events, spec)
-            extra = [START_AT, END_AT] if scd_type == 2 else []
-            # whole-table replacement (static), unlike the per-bucket overwrites
-            (state.select(*events.columns, "__del", *extra).withColumn(BUCKET, bucket).repartition(BUCKET)
-             .write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(BUCKET).parquet(layout.table(dim)))
+    """Recompute every dimension from its change log (after damage that counts of
+    rows show, see ``DimensionStore.damaged``; lost folders are repaired anyway)."""
+    for source, (spec, _) in _dimensions_by_source().items():
+        DimensionStore(spark, layout.dimension_store(source), spec).rebuild()
 
 
 def run_facts(spark: SparkSession, layout: Layout) -> None:
@@ -246,4 +198,4 @@ def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buc
     return layout
 
 
-__all__ = ["Layout", "CdcApply", "run_pipeline", "read_dimension", "rebuild_dimensions", "START_AT", "END_AT"]
+__all__ = ["Layout", "CdcApply", "run_pipeline", "read_dimension", "rebuild_dimensions", "START_AT", "END_AT", "BUCKET", "BATCH_ID"]

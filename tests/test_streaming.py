@@ -86,12 +86,13 @@ def test_cdc_apply_over_random_micro_batches_with_replay(spark, scratch):
     assert {(r.k, r.price) for r in d1.collect()} == t1
     assert {(r.k, r.price, r[START_AT], r[END_AT]) for r in d2.collect()} == t2
     # The change log alone rebuilds the same state (recovery path).
+    from partsflow.operators.cdc import scd1_state, scd2_state
     from partsflow.streaming import pipeline as P
     rebuilt = Layout(f"{scratch}/rebuilt")
-    events = spark.read.parquet(layout.changelog("ev")).drop(P.BUCKET, P.BATCH_ID)
+    events = apply.store.change_log().drop(P.BUCKET, P.BATCH_ID)
     spec = CdcSpec(keys=["k"], tie_break=("updated_at",))
     for name, kind in (("d1", 1), ("d2", 2)):
-        st = P.scd1_state(events, spec) if kind == 1 else P.scd2_state(events, spec)
+        st = scd1_state(events, spec) if kind == 1 else scd2_state(events, spec)
         extra = [START_AT, END_AT] if kind == 2 else []
         st.select(*events.columns, "__del", *extra).write.parquet(rebuilt.table(name))
     assert rows(read_dimension(spark, rebuilt.table("d1"))) == rows(d1)
@@ -133,10 +134,12 @@ def test_cdc_state_is_safe(spark, scratch):
     assert sum(want[0].values()) == 8 and sum(want[1].values()) == 11
     with pytest.raises(ValueError, match="8 buckets, not 3"):
         _apply(spark, layout, [second], n_buckets=3, start=2)
-    # A driver lost between removing and renaming a bucket: the replay brings it back.
-    lost = next(p for p in (__import__("pathlib").Path(layout.table("d2"))).glob("__bucket=*")
+    # A lost bucket folder: reading fails, the replay brings it back.
+    lost = next(p for p in (__import__("pathlib").Path(layout.dimension_store("ev"))).glob("data/*/kind=open/__bucket=*")
                 if spark.read.parquet(str(p)).where("k < 'k3'").count())
     shutil.rmtree(lost)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_dimension(spark, layout.table("d2")).count()
     # A dimension added later, and one whose state is lost, come from the whole log.
     shutil.rmtree(layout.table("d1"))
     _apply(spark, layout, [second], dims={"d1": 1, "d2": 2, "d3": 2}, start=1)
