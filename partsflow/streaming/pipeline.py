@@ -22,6 +22,7 @@ result.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,9 +70,11 @@ def _run_available_now(streams: list[tuple[DataFrame, str, str]]) -> None:
             raise q.exception()
 
 
-def run_bronze(spark: SparkSession, landing_root: str, layout: Layout, max_files_per_trigger: int | None = None) -> None:
+def run_bronze(spark: SparkSession, landing_root: str, layout: Layout, max_files_per_trigger: int | None = None,
+               folders: Iterable[str] | None = None) -> None:
+    """Ingest the new files of the feeds (default: all)."""
     _run_available_now([(stream_feed(spark, landing_root, folder, max_files_per_trigger),
-                         layout.table(spec.bronze.name), layout.checkpoint(spec.bronze.name)) for folder, spec in FEEDS.items()])
+                         layout.table(FEEDS[folder].bronze.name), layout.checkpoint(FEEDS[folder].bronze.name)) for folder in folders or FEEDS])
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:
@@ -80,9 +83,10 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def run_silver(spark: SparkSession, layout: Layout) -> None:
-    _run_available_now([(clean(stream_table(spark, layout.table(FEEDS[SILVER_SOURCE[name]].bronze.name)), spec),
-                         layout.table(name), layout.checkpoint(name)) for name, spec in SILVER.items()])
+def run_silver(spark: SparkSession, layout: Layout, names: Iterable[str] | None = None) -> None:
+    """Clean the new rows of the bronze tables (default: all silver tables)."""
+    _run_available_now([(clean(stream_table(spark, layout.table(FEEDS[SILVER_SOURCE[name]].bronze.name)), SILVER[name]),
+                         layout.table(name), layout.checkpoint(name)) for name in names or SILVER])
 
 
 class CdcApply:
@@ -134,8 +138,11 @@ def _dimensions_by_source() -> dict[str, tuple[CdcSpec, dict[str, int]]]:
     return out
 
 
-def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64) -> None:
+def run_dimensions(spark: SparkSession, layout: Layout, n_buckets: int = 64, sources: Iterable[str] | None = None) -> None:
+    """Splice the new silver rows of the change feeds (default: all) into their dimensions."""
     for source, (spec, dims) in _dimensions_by_source().items():
+        if sources is not None and source not in sources:
+            continue
         handler = CdcApply(spark, layout, source, spec, dims, n_buckets)
         q = (stream_table(spark, layout.table(source)).writeStream
              .foreachBatch(handler)

@@ -22,15 +22,11 @@ def test_query_matches_oracle(results, name):
     assert r["values_match"], r
 
 
-def test_every_query_has_rows_or_oracle(spark):
+def test_every_query_has_an_oracle():
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
     missing = set(qs) - set(E.oracle_sql()) - set(E.LLM_QUERIES)  # those have tests of their own
-    assert missing == {n for n in qs if n.startswith("bronze_")}
-    for name in sorted(missing):
-        df = qs[name](spark, SF_SMALL)
-        assert "_source_file" in df.columns and "_ingested_at" in df.columns
-        assert df.count() > 0
+    assert not missing
 
 
 def test_entry_runs(spark):
