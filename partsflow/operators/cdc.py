@@ -25,8 +25,9 @@ type-2 rows always equal the type-1 rows):
 
 Scale: type 1 keeps one row per key and task before its shuffle.  Type 2 needs
 one exchange by key: the events of a key are sorted once and both windows read
-that order.  For keys with more events than one task can sort, ``bucketed=True``
-uses ``ordered.next_position`` whose groups are bounded.
+that order.  Keys known to hold more events than a task should sort (``hot``, from the
+sketch beside the stored table) take ``ordered.next_position`` instead, whose groups
+are bounded; ``bucketed=True`` sends every key that way.
 """
 
 from __future__ import annotations
@@ -100,23 +101,39 @@ def scd1(df: DataFrame, spec: CdcSpec) -> DataFrame:
     return scd1_state(df, spec).where(~F.col("__del")).select(*_output_columns(df, spec))
 
 
-def scd2_state(df: DataFrame, spec: CdcSpec) -> DataFrame:
+def _scd2_bounded(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    return next_position(collapse_events(df, spec), spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts, bucketed=True)
+
+
+def _scd2_by_key(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    # One exchange by key serves both windows, and the sort of the first,
+    # by (keys, sequence, winner), is an order that the second can use.
+    by_key = df.repartition(*[F.col(k) for k in spec.keys])
+    w = Window.partitionBy(*spec.keys).orderBy(spec.sequence_by)
+    return collapse_events(by_key, spec).withColumn(END_AT, F.lead(spec.sequence_by).over(w))
+
+
+def scd2_state(df: DataFrame, spec: CdcSpec, hot: DataFrame | None = None) -> DataFrame:
     """Every collapsed event with ``__START_AT``/``__END_AT`` and ``__del``
-    (delete events kept as markers; see ``scd1_state`` for why)."""
+    (delete events kept as markers; see ``scd1_state`` for why).
+
+    ``hot``: keys (__hk0.., a bounded number of rows) whose events no task should
+    sort alone."""
     if spec.bucketed:
-        ev = next_position(collapse_events(df, spec), spec.keys, spec.sequence_by, END_AT, shifts=spec.shifts, bucketed=True)
+        ev = _scd2_bounded(df, spec)
+    elif hot is None:
+        ev = _scd2_by_key(df, spec)
     else:
-        # One exchange by key serves both windows, and the sort of the first,
-        # by (keys, sequence, winner), is an order that the second can use.
-        by_key = df.repartition(*[F.col(k) for k in spec.keys])
-        w = Window.partitionBy(*spec.keys).orderBy(spec.sequence_by)
-        ev = collapse_events(by_key, spec).withColumn(END_AT, F.lead(spec.sequence_by).over(w))
+        same = [df[k].eqNullSafe(hot[f"__hk{i}"]) for i, k in enumerate(spec.keys)]
+        rest, large = (df.join(F.broadcast(hot), same, kind) for kind in ("left_anti", "left_semi"))
+        by_key, bounded = _scd2_by_key(rest, spec), _scd2_bounded(large, spec)
+        ev = by_key.unionByName(bounded)
     return ev.withColumn(START_AT, F.col(spec.sequence_by))
 
 
-def scd2(df: DataFrame, spec: CdcSpec) -> DataFrame:
+def scd2(df: DataFrame, spec: CdcSpec, hot: DataFrame | None = None) -> DataFrame:
     """Full version history per key (type 2)."""
-    return (scd2_state(df, spec).where(~F.col("__del"))
+    return (scd2_state(df, spec, hot).where(~F.col("__del"))
             .select(*_output_columns(df, spec), START_AT, END_AT))
 
 

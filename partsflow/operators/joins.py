@@ -5,22 +5,19 @@ the *left* side of a skewed partition.  When the hot key is on the right
 (one purchase order with a third of all receipts) its rows would all reach
 one task.  ``left_join`` avoids that exactly:
 
-1. ``hot`` = right keys with more than ``chunk`` rows, with the number of
-   salt buckets ``ceil(count / chunk)``; a partially aggregated count, so the
-   hot key itself is reduced inside every task.  At most
-   ``rows(right) / chunk`` keys can qualify -- that bound is what makes the
-   explicit broadcast of ``hot`` safe.
+1. ``hot`` = right keys with many rows and the number of salt buckets of each,
+   either given (``hot_keys.HotKeys.buckets``: from the sketch stored beside the
+   table, no job) or counted: keys with more than ``chunk`` rows, a partially
+   aggregated count.  Either bounds the number of keys (``KEPT``;
+   ``rows(right) / chunk``), which makes the explicit broadcast of ``hot`` safe.
 2. right rows of a hot key get salt ``pmod(xxhash64(row), buckets)``; other
    rows salt 0.
 3. left rows of a hot key are repeated once per bucket; other rows once.
 4. equi-join on (key, salt), left outer; a hot key always has matches, so
    the NULL-extended rows produced for its empty buckets are dropped.
 
-The result equals the plain left join row for row.  Cost on unskewed data:
-one partial aggregation of the right keys and a (normally empty) broadcast;
-and because the join is partitioned on (key, salt), two consecutive joins on
-the same key no longer share one exchange.  ``chunk=None`` gives the plain
-left join (shared exchanges) for inputs known to be free of hot keys.
+The result equals the plain left join row for row.  Without a hot key (none given,
+``chunk=None``) it is the plain left join, and two joins on one key share an exchange.
 """
 
 from __future__ import annotations
@@ -37,27 +34,20 @@ DEFAULT_CHUNK = 1 << 22  # rows of one right key handled by one task
 
 
 def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-              chunk: int | None = DEFAULT_CHUNK, spread_by: Sequence[str] | None = None) -> DataFrame:
+              chunk: int | None = DEFAULT_CHUNK, spread_by: Sequence[str] | None = None,
+              hot: DataFrame | None = None) -> DataFrame:
     """``left LEFT JOIN right ON left.l = right.r [AND ...]`` for ``on`` =
     [(l, r), ...]; column names of the two sides must be distinct.
 
     ``spread_by``: right columns hashed to pick a hot row's bucket (default:
     all right columns; name a row id to keep column pruning effective).
+    ``hot``: hot right keys (__hk0.., __buckets), each with a row in ``right``.
     """
-    if chunk is None:
+    if chunk is None and hot is None:
         return left.join(right, reduce(lambda a, b: a & b, [left[lc] == right[rc] for lc, rc in on]), "left")
     lk = [lc for lc, _ in on]
     rk = [rc for _, rc in on]
-    hot = (right.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rk]))
-           .groupBy(*rk).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > F.lit(chunk))
-           .select(*[F.col(c).alias(f"__hk{i}") for i, c in enumerate(rk)],
-                   F.ceil(F.col("__n") / F.lit(chunk)).cast("int").alias("__buckets")))
-    # Small and bounded (at most rows(right) / chunk keys): materialise it once
-    # (reliable checkpoint in the shared checkpoint folder) so both sides use
-    # one result, and broadcast it.
-    shared_root(right.sparkSession)
-    hot = F.broadcast(hot.checkpoint(eager=True))
+    hot = F.broadcast(_counted(right, rk, chunk) if hot is None else hot)
 
     def flag(df: DataFrame, keys: list[str]) -> DataFrame:
         cond = reduce(lambda a, b: a & b, [df[k] == hot[f"__hk{i}"] for i, k in enumerate(keys)])
@@ -76,3 +66,14 @@ def left_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     out = lft.join(r, cond, "left")
     out = out.where(F.col("__buckets").isNull() | F.col("__rsalt").isNotNull())
     return out.drop("__buckets", "__lsalt", "__rsalt")
+
+
+def _counted(right: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """Keys with more than ``chunk`` rows, by a job.  Small and bounded: materialised once
+    (reliable checkpoint in the shared checkpoint folder) so both sides use one result."""
+    shared_root(right.sparkSession)
+    return (right.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys]))
+            .groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+            .where(F.col("__n") > F.lit(chunk))
+            .select(*[F.col(c).alias(f"__hk{i}") for i, c in enumerate(keys)],
+                    F.ceil(F.col("__n") / F.lit(chunk)).cast("int").alias("__buckets"))).checkpoint(eager=True)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from partsflow.operators.cdc import CdcSpec, scd1, scd2
 from partsflow.operators.clean import clean, validity_filter
+from partsflow.operators.hot_keys import HotKeys
 from partsflow.plans import facts as FX
 from partsflow.plans.feeds import Tables, build_feed
 from partsflow.plans.silver import SILVER
@@ -34,8 +35,13 @@ DIMENSIONS = {
 }
 
 
-def apply_cdc(events: DataFrame, spec: CdcSpec, scd_type: int) -> DataFrame:
-    return scd1(events, spec) if scd_type == 1 else scd2(events, spec)
+#: Sides of the facts that can be hot on the right: table and key.
+DEMAND_SIDES = {"ds": ("silver_demand_signals", ("signal_id",)), "r": ("silver_receivers", ("po_id",)), "inv": ("silver_invoices", ("po_id",))}
+WORK_ORDER_SIDES = {"q": ("silver_customer_quotes", ("wo_id",)), "ls": ("silver_labor_schedules", ("technician_id", "schedule_date"))}
+
+
+def apply_cdc(events: DataFrame, spec: CdcSpec, scd_type: int, hot: DataFrame | None = None) -> DataFrame:
+    return scd1(events, spec) if scd_type == 1 else scd2(events, spec, hot)
 
 
 class Flow:
@@ -89,19 +95,34 @@ class Flow:
 
     def dim(self, name: str) -> DataFrame:
         source, spec, scd_type = DIMENSIONS[name]
-        return self._get(name, lambda: apply_cdc(self.silver(source), spec, scd_type))
+        return self._get(name, lambda: apply_cdc(self.silver(source), spec, scd_type, self._hot_entities(source, spec)))
+
+    def _hot_entities(self, source: str, spec: CdcSpec) -> DataFrame | None:
+        keys = self.hot_keys(source)
+        return keys.buckets(self.silver(source), spec.keys, self.join_chunk) if keys is not None else None
+
+    def hot_keys(self, table: str) -> HotKeys | None:
+        """The hot keys kept beside a stored silver table (None: the flow stores none)."""
+        if not self.store:
+            return None
+        self.silver(table)
+        return HotKeys(self.spark, f"{self.store}/{table}")
+
+    def _hot_sides(self, sides: dict[str, tuple[str, tuple[str, ...]]]) -> dict[str, DataFrame | None]:
+        found = {side: (self.hot_keys(table), table, columns) for side, (table, columns) in sides.items()}
+        return {side: keys.buckets(self.silver(table), columns, self.join_chunk) for side, (keys, table, columns) in found.items() if keys is not None}
 
     def fact(self, name: str) -> DataFrame:
         if name == "fact_demand_fulfillment":
             return self._get(name, lambda: FX.fact_demand_fulfillment(
                 self.silver("silver_purchase_orders"), self.silver("silver_demand_signals"),
                 self.silver("silver_receivers"), self.silver("silver_invoices"), self.dim("dim_part_type1"),
-                self.join_chunk))
+                None if self.store else self.join_chunk, self._hot_sides(DEMAND_SIDES)))
         if name == "fact_work_order_completion":
             return self._get(name, lambda: FX.fact_work_order_completion(
                 self.silver("silver_work_orders"), self.silver("silver_customer_quotes"),
                 self.silver("silver_labor_schedules"), self.dim("dim_part_type1"),
-                self.dim("dim_customer_type1"), self.join_chunk))
+                self.dim("dim_customer_type1"), None if self.store else self.join_chunk, self._hot_sides(WORK_ORDER_SIDES)))
         raise KeyError(name)
 
 

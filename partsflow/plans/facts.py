@@ -8,8 +8,9 @@ Join strategy:
   them only when its size check passes (``autoBroadcastJoinThreshold``
   statically, AQE's measured size at run time), else sort-merge joins;
 * the transactional sides (signals, receipts, invoices, quotes, schedules)
-  use ``operators.joins.left_join``, which splits a right-side key that
-  holds more than ``chunk`` rows over several tasks; AQE's skew handling
+  use ``operators.joins.left_join`` with the hot keys that the stored table
+  carries (``hot``: side -> keys and buckets): only those are spread over
+  several tasks, and without any the join is plain; AQE's skew handling
   splits hot keys on the left side (e.g. the receipts of one purchase order
   feeding the invoice join), so the receipt x invoice product of one order
   is spread, not computed by one task;
@@ -39,11 +40,13 @@ def _dim_join(left: DataFrame, dim: DataFrame, left_key: str, dim_key: str) -> D
 
 
 def fact_demand_fulfillment(po: DataFrame, ds: DataFrame, r: DataFrame, inv: DataFrame,
-                            dim_part: DataFrame, chunk: int | None = None) -> DataFrame:
+                            dim_part: DataFrame, chunk: int | None = None,
+                            hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+    hot = hot or {}
     x = _prefixed(po, "po")
-    x = left_join(x, _prefixed(ds, "ds"), [("po__signal_id", "ds__signal_id")], chunk, ["ds__signal_id"])
-    x = left_join(x, _prefixed(r, "r"), [("po__po_id", "r__po_id")], chunk, ["r__receiver_id"])
-    x = left_join(x, _prefixed(inv, "inv"), [("po__po_id", "inv__po_id")], chunk, ["inv__invoice_id"])
+    x = left_join(x, _prefixed(ds, "ds"), [("po__signal_id", "ds__signal_id")], chunk, ["ds__signal_id"], hot.get("ds"))
+    x = left_join(x, _prefixed(r, "r"), [("po__po_id", "r__po_id")], chunk, ["r__receiver_id"], hot.get("r"))
+    x = left_join(x, _prefixed(inv, "inv"), [("po__po_id", "inv__po_id")], chunk, ["inv__invoice_id"], hot.get("inv"))
     x = _dim_join(x, _prefixed(dim_part, "dp"), "po__part_id", "dp__part_id")
     return x.select(
         col("ds__signal_id").alias("signal_id"), col("po__po_id").alias("po_id"),
@@ -68,11 +71,13 @@ def fact_demand_fulfillment(po: DataFrame, ds: DataFrame, r: DataFrame, inv: Dat
 
 
 def fact_work_order_completion(wo: DataFrame, q: DataFrame, ls: DataFrame, dim_part: DataFrame,
-                               dim_customer: DataFrame, chunk: int | None = None) -> DataFrame:
+                               dim_customer: DataFrame, chunk: int | None = None,
+                               hot: dict[str, DataFrame | None] | None = None) -> DataFrame:
+    hot = hot or {}
     x = _prefixed(wo, "wo")
-    x = left_join(x, _prefixed(q, "q"), [("wo__wo_id", "q__wo_id")], chunk, ["q__quote_id"])
+    x = left_join(x, _prefixed(q, "q"), [("wo__wo_id", "q__wo_id")], chunk, ["q__quote_id"], hot.get("q"))
     x = left_join(x, _prefixed(ls, "ls"), [("wo__technician_id", "ls__technician_id"),
-                                           ("wo__scheduled_date", "ls__schedule_date")], chunk, ["ls__schedule_id"])
+                                           ("wo__scheduled_date", "ls__schedule_date")], chunk, ["ls__schedule_id"], hot.get("ls"))
     x = _dim_join(x, _prefixed(dim_part, "dp"), "wo__part_id", "dp__part_id")
     x = _dim_join(x, _prefixed(dim_customer, "dc"), "wo__customer_id", "dc__customer_id")
     return x.select(

@@ -20,6 +20,7 @@ class TableMeta:
     cluster_by: tuple[str, ...]
     comment: str
     properties: dict[str, str] = field(default_factory=dict)
+    watch: tuple[tuple[str, ...], ...] = ()  # keys whose frequent values are kept beside the table
 
 
 @dataclass(frozen=True)
@@ -122,8 +123,8 @@ SILVER_SOURCE: dict[str, str] = {
 }
 
 
-def _silver(name, cluster, comment):
-    return TableMeta(name, cluster, comment, {"quality": "silver", "layer": "transformation"})
+def _silver(name, cluster, comment, *watch):
+    return TableMeta(name, cluster, comment, {"quality": "silver", "layer": "transformation"}, watch)
 
 
 def _gold(name, cluster, comment, **props):
@@ -131,15 +132,15 @@ def _gold(name, cluster, comment, **props):
 
 
 TABLES: dict[str, TableMeta] = {
-    "silver_parts": _silver("silver_parts", ("part_id",), "Cleaned parts change events."),
-    "silver_customers": _silver("silver_customers", ("customer_id",), "Cleaned customer change events."),
-    "silver_demand_signals": _silver("silver_demand_signals", ("part_id", "forecast_date"), "Cleaned demand signals."),
+    "silver_parts": _silver("silver_parts", ("part_id",), "Cleaned parts change events.", ("part_id",)),
+    "silver_customers": _silver("silver_customers", ("customer_id",), "Cleaned customer change events.", ("customer_id",)),
+    "silver_demand_signals": _silver("silver_demand_signals", ("part_id", "forecast_date"), "Cleaned demand signals.", ("signal_id",)),
     "silver_purchase_orders": _silver("silver_purchase_orders", ("po_id", "part_id"), "Cleaned purchase orders."),
-    "silver_receivers": _silver("silver_receivers", ("receiver_id", "po_id"), "Cleaned goods receipts."),
-    "silver_invoices": _silver("silver_invoices", ("invoice_id", "po_id"), "Cleaned supplier invoices."),
+    "silver_receivers": _silver("silver_receivers", ("receiver_id", "po_id"), "Cleaned goods receipts.", ("po_id",)),
+    "silver_invoices": _silver("silver_invoices", ("invoice_id", "po_id"), "Cleaned supplier invoices.", ("po_id",)),
     "silver_work_orders": _silver("silver_work_orders", ("wo_id", "customer_id"), "Cleaned field work orders."),
-    "silver_customer_quotes": _silver("silver_customer_quotes", ("quote_id", "customer_id"), "Cleaned customer quotes."),
-    "silver_labor_schedules": _silver("silver_labor_schedules", ("technician_id", "schedule_date"), "Cleaned technician schedules."),
+    "silver_customer_quotes": _silver("silver_customer_quotes", ("quote_id", "customer_id"), "Cleaned customer quotes.", ("wo_id",)),
+    "silver_labor_schedules": _silver("silver_labor_schedules", ("technician_id", "schedule_date"), "Cleaned technician schedules.", ("technician_id", "schedule_date")),
     "dim_part_type1": _gold("dim_part_type1", ("part_id",), "Part dimension, current state.", layer="dimension", scd_type="1"),
     "dim_part_type2": _gold("dim_part_type2", ("part_id",), "Part dimension, full version history.", layer="dimension", scd_type="2"),
     "dim_customer_type1": _gold("dim_customer_type1", ("customer_id",), "Customer dimension, current state.", layer="dimension", scd_type="1"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from partsflow.operators import hot_keys
 from partsflow.schemas import TableMeta
 
 
@@ -23,15 +24,21 @@ def clustered(df: DataFrame, cluster_by: tuple[str, ...] | list[str], n_files: i
 
 def write_table(df: DataFrame, path: str, meta: TableMeta | None = None, mode: str = "overwrite",
                 n_files: int | None = None, partition_by: list[str] | None = None) -> None:
-    """Write ``df`` as Parquet with the table's clustered layout."""
+    """Write ``df`` as Parquet with the table's clustered layout; the frequent values of
+    the keys that the table watches are put beside it (``operators.hot_keys``)."""
     if meta is not None:
         df = clustered(df, meta.cluster_by, n_files)
     elif n_files:
         df = df.repartition(n_files)
+    seen = None
+    if meta is not None and meta.watch:  # behind the exchange, so that sampling for it doesn't count
+        df, seen = hot_keys.observed(df, meta.watch)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if seen is not None:
+        hot_keys.store(df.sparkSession, path, meta.watch, seen, merge=mode == "append")
 
 
 def write_feed_files(df: DataFrame, path: str, n_files: int | None = 16) -> None:
