@@ -9,7 +9,8 @@
   micro-batch is spliced into the entity's ``DimensionStore`` (type 1 and type 2
   are two readings of one store) and published by a commit record.
 * **facts**: batch joins over the silver tables and type-1 dimensions,
-  overwritten on every run (materialised views are recomputed).
+  overwritten on every run (``run_facts``), or refreshed by change
+  (``refresh_facts``: only root keys that new rows touch are computed anew).
 
 Every stream uses ``trigger(availableNow=True)``: a run processes what has
 landed since the previous run and stops.  All checkpoints and tables live
@@ -39,6 +40,7 @@ from partsflow.sinks.commits import Files
 from partsflow.sinks.tables import register_table, write_table
 from partsflow.sources.files import raw_data_path, stream_feed
 from partsflow.streaming.dimension_store import BATCH_ID, BUCKET, DimensionStore
+from partsflow.streaming.fact_store import FactSpec, FactStore
 
 NOTE = "_dimension.json"
 
@@ -175,6 +177,57 @@ def run_facts(spark: SparkSession, layout: Layout) -> None:
     write_table(f2, layout.table("fact_work_order_completion"), TABLES["fact_work_order_completion"])
 
 
+def _demand(t: dict[str, DataFrame]) -> DataFrame:
+    return FX.fact_demand_fulfillment(t["silver_purchase_orders"], t["silver_demand_signals"], t["silver_receivers"], t["silver_invoices"],
+                                      t["dim_part_type1"])
+
+
+def _work_orders(t: dict[str, DataFrame]) -> DataFrame:
+    return FX.fact_work_order_completion(t["silver_work_orders"], t["silver_customer_quotes"], t["silver_labor_schedules"],
+                                         t["dim_part_type1"], t["dim_customer_type1"])
+
+
+def _refers(**columns: tuple) -> dict[str, tuple[tuple[str, ...], tuple[str, ...]]]:
+    return {f"silver_{name}": (c[0], c[-1]) for name, c in columns.items()}
+
+
+FACTS = {spec.name: spec for spec in (
+    FactSpec("fact_demand_fulfillment", "silver_purchase_orders", "po_id", "po_id",
+             _refers(purchase_orders=(("po_id",),), demand_signals=(("signal_id",),), receivers=(("po_id",),), invoices=(("po_id",),),
+                     parts=(("part_id",),)),
+             {"silver_parts": "dim_part_type1"}, _demand),
+    FactSpec("fact_work_order_completion", "silver_work_orders", "wo_id", "wo_id",
+             _refers(work_orders=(("wo_id",),), customer_quotes=(("wo_id",),),
+                     labor_schedules=(("technician_id", "schedule_date"), ("technician_id", "scheduled_date")),
+                     parts=(("part_id",),), customers=(("customer_id",),)),
+             {"silver_parts": "dim_part_type1", "silver_customers": "dim_customer_type1"}, _work_orders))}
+
+
+def fact_store(spark: SparkSession, layout: Layout, name: str) -> FactStore:
+    return FactStore(spark, f"{layout.root.rstrip('/')}/facts/{name}", FACTS[name])
+
+
+def refresh_facts(spark: SparkSession, layout: Layout, names: Iterable[str] | None = None) -> dict[str, int]:
+    """Bring the facts up to date with what has changed since the last refresh; the
+    number of root keys computed anew.  ``fact_store(...).rows()`` reads a fact.  (The
+    other way, ``run_facts``, computes whole tables.)"""
+    out = {}
+    for name in names or FACTS:
+        spec, store = FACTS[name], fact_store(spark, layout, name)
+        for source in spec.refers:
+            q = (stream_table(spark, layout.table(source)).select(*spec.refers[source][0]).writeStream
+                 .foreachBatch(lambda batch, i, s=source, st=store: st.stage(s, batch, i))
+                 .option("checkpointLocation", layout.checkpoint(f"touched_{name}_{source}")).trigger(availableNow=True).start())
+            q.awaitTermination()
+            if q.exception():
+                raise q.exception()
+        tables = {s: spark.read.parquet(layout.table(s)) for s in spec.refers if s not in spec.dimensions}
+        tables |= {d: read_dimension(spark, layout.table(d)) for d in spec.dimensions.values()}
+        out[name] = store.refresh(tables)
+        store.vacuum()
+    return out
+
+
 def register_tables(spark: SparkSession, layout: Layout) -> list[str]:
     """Catalog tables (comment + properties) over the silver tables and facts
     (bronze, silver and facts are plain Parquet folders; dimensions carry
