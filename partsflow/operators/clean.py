@@ -25,6 +25,7 @@ class CleanSpec:
     name: str
     predicate: Column
     columns: Sequence[Column]
+    raw: str | None = None  # what ``predicate`` implies for the columns as they lie in the files
 
 
 def validity_filter(df: DataFrame, predicate: Column) -> DataFrame:

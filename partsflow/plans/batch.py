@@ -86,12 +86,20 @@ class Flow:
             return self._get(f"typed:{folder}", lambda: read_feed(self.spark, self.landing(), folder, metadata=False))
         return self._get(f"typed:{folder}", lambda: typed_feed(self.feed(folder), folder))
 
+    def _source(self, silver_name: str) -> DataFrame:
+        """What a silver table is made from: of landed files, without the rows that the
+        predicate's pushable part drops in the scan."""
+        folder, raw = SILVER_SOURCE[silver_name], SILVER[silver_name].raw
+        if self.landing is None or raw is None:
+            return self.typed(folder)
+        return self._get(f"raw:{silver_name}", lambda: read_feed(self.spark, self.landing(), folder, metadata=False, raw=raw))
+
     def valid(self, silver_name: str) -> DataFrame:
         """Typed feed rows that pass the silver validity predicate."""
-        return validity_filter(self.typed(SILVER_SOURCE[silver_name]), SILVER[silver_name].predicate)
+        return validity_filter(self._source(silver_name), SILVER[silver_name].predicate)
 
     def silver(self, name: str) -> DataFrame:
-        return self._get(name, lambda: clean(self.typed(SILVER_SOURCE[name]), SILVER[name]))
+        return self._get(name, lambda: clean(self._source(name), SILVER[name]))
 
     def dim(self, name: str) -> DataFrame:
         source, spec, scd_type = DIMENSIONS[name]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from partsflow.oracle import compose
 from partsflow.oracle import sql as S
 from partsflow.operators import sampling as SM
-from partsflow.plans import analytics as A
+from partsflow.plans import analytics as A, fractions
 from partsflow.plans.batch import DIMENSIONS, PART_CDC, Flow
 from partsflow.plans.silver import SILVER
 from partsflow.schemas import FEEDS, SILVER_SOURCE
@@ -64,6 +64,10 @@ for _q, _silver in _FILTER_QUERIES.items():
 for _silver in SILVER:
     _reg(_silver, lambda f, s=_silver: f.silver(s), compose.stage(_silver))
 
+# ---- roundings on raw products and fractions (C5, C6, C9, C10) ---------------
+_reg("silver_po_fractions", lambda f: fractions.purchase_orders(f.t.lineitem), fractions.PURCHASE_ORDERS_SQL)
+_reg("silver_labor_fractions", lambda f: fractions.labor_schedules(f.t.lineitem), fractions.LABOR_SCHEDULES_SQL)
+
 # ---- dimensions (D1-D4) ------------------------------------------------------
 for _dim in DIMENSIONS:
     _reg(_dim, lambda f, d=_dim: f.dim(d), compose.stage(_dim))

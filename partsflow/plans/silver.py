@@ -76,6 +76,7 @@ def _build() -> dict[str, CleanSpec]:
                 col("region"),
                 col("created_at"),
             ],
+            raw="forecasted_qty > 0",
         ),
         "silver_purchase_orders": CleanSpec(
             "silver_purchase_orders",
@@ -94,6 +95,7 @@ def _build() -> dict[str, CleanSpec]:
                 col("buyer_id"),
                 col("created_at"),
             ],
+            raw="ordered_qty > 0",
         ),
         "silver_receivers": CleanSpec(
             "silver_receivers",
@@ -110,6 +112,7 @@ def _build() -> dict[str, CleanSpec]:
                 col("inspector_id"),
                 col("created_at"),
             ],
+            raw="received_qty > 0",
         ),
         "silver_invoices": CleanSpec(
             "silver_invoices",

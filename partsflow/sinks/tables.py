@@ -8,17 +8,20 @@ statistics let later filters on those columns skip files and row groups.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from partsflow.operators import hot_keys
 from partsflow.schemas import TableMeta
 
 
 def clustered(df: DataFrame, cluster_by: tuple[str, ...] | list[str], n_files: int | None = None) -> DataFrame:
-    """Range-partition on the clustering columns and sort within files."""
+    """Range-partition on the clustering columns and sort within files.  A hash of the
+    row comes last in the ranges, so the rows of one key can go to several files."""
     cols = list(cluster_by)
     if not cols:
         return df
-    out = df.repartitionByRange(n_files, *cols) if n_files else df.repartitionByRange(*cols)
+    spread = [*cols, F.xxhash64(*[F.col(c) for c in df.columns])]
+    out = df.repartitionByRange(n_files, *spread) if n_files else df.repartitionByRange(*spread)
     return out.sortWithinPartitions(*cols)
 
 

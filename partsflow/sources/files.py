@@ -57,11 +57,15 @@ def physical_schema(spark: SparkSession, path: str) -> StructType:
     return spark.read.option("mergeSchema", "true").parquet(path).schema
 
 
-def read_feed(spark: SparkSession, root: str, folder: str, metadata: bool = True) -> DataFrame:
-    """Batch read of a landing folder with declared casts (+ lineage)."""
+def read_feed(spark: SparkSession, root: str, folder: str, metadata: bool = True, raw: str | None = None) -> DataFrame:
+    """Batch read of a landing folder with declared casts (+ lineage).  ``raw``: a
+    predicate on the columns as they lie in the files; in front of the casts it
+    reaches the scan, behind a narrowing cast a predicate doesn't."""
     spec = FEEDS[folder]
     df = spark.read.option("mergeSchema", "true").parquet(feed_path(root, folder))
     cols = declared_projection(df.schema, spec)
+    if raw is not None:
+        df = df.where(raw)
     return df.select(*cols, *(ingest_metadata() if metadata else []))
 
 

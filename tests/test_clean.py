@@ -93,3 +93,47 @@ def test_filter_is_pushed_to_parquet_scan(spark, scratch):
         assert f in pushed, pushed
     assert {r.part_id for r in df.collect()} == {"a"}
     assert df.where(F.col("part_id") == "a").count() == 1
+
+
+def test_quantity_predicates_reach_the_scan_of_landed_files(spark):
+    import re
+
+    from conftest import SF_SMALL
+    from partsflow.plans.batch import Flow
+    from partsflow.plans.feeds import Tables
+    from partsflow.plans.landing import landing_for
+
+    flow = Flow(Tables(spark, SF_SMALL), landing=lambda: landing_for(spark, SF_SMALL))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    for name, column in (("silver_demand_signals", "forecasted_qty"), ("silver_purchase_orders", "ordered_qty"), ("silver_receivers", "received_qty")):
+        plan = flow.silver(name)._jdf.queryExecution().executedPlan().toString()
+        assert f"GreaterThan({column},0" in re.search(r"PushedFilters: \[(.*?)\], ReadSchema", plan).group(1), plan
+
+
+def test_fractions_tell_wrong_roundings_apart(spark):
+    """In the registered rows each other way to round changes some."""
+    from conftest import SF_SMALL
+    from partsflow.plans import fractions
+
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    raw = lines.select(F.expr("concat('PO-', l_orderkey, '-', l_linenumber)").alias("po_id"), (F.col("l_quantity") * F.col("l_discount")).alias("q"),
+                       (F.col("l_extendedprice") * F.col("l_tax")).alias("p"))
+    po = fractions.purchase_orders(lines).join(raw, "po_id")
+    differ = lambda x: po.where(x).count() > 0
+    assert differ(F.col("ordered_qty") != F.round("q"))  # C6 cuts
+    assert differ(F.col("unit_price") != (F.floor(F.col("p") * 100) / 100).cast("decimal(12,2)"))  # C5 rounds
+    assert differ(F.col("po_total_value") != (F.col("ordered_qty") * F.col("unit_price")).cast("decimal(14,2)"))  # C9: the raw price
+    labor = fractions.labor_schedules(lines)
+    assert labor.where("remaining_hours != available_hours - booked_hours").count() > 0  # C10: rounded once
+    assert labor.where("remaining_hours < 0").count() > 0
+
+
+def test_rows_of_one_clustering_key_go_to_several_files(spark, scratch):
+    from pathlib import Path
+
+    from partsflow.sinks.tables import clustered
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.lit("one")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    clustered(df, ["k"], n_files=8).write.parquet(f"{scratch}/t")
+    sizes = [spark.read.parquet(str(p)).where("k = 'one'").count() for p in Path(scratch, "t").glob("*.parquet")]
+    assert sum(sizes) == 10_000 and max(sizes) < 5_000
