@@ -73,3 +73,10 @@ def register_table(spark: SparkSession, meta: TableMeta, path: str) -> None:
     spark.sql(
         f"CREATE TABLE {meta.name} USING parquet LOCATION '{path}' "
         f"COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else ""))
+
+
+def register_view(spark: SparkSession, meta: TableMeta, query: str) -> None:
+    """Catalog view with comment and properties."""
+    props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(meta.properties.items()))
+    comment = meta.comment.replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {meta.name} COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else "") + f" AS {query}")

@@ -129,6 +129,32 @@ class DimensionStore:
         events = [f.name for f in self._event_schema(record).fields if f.name not in self.spec.except_columns]
         return rows.where(~F.col("__del")).select(*events, *([START_AT, END_AT] if scd_type == 2 else []))
 
+    def select_sql(self, scd_type: int, record: dict | None = None) -> str:
+        """The dimension as a SQL query over the folders of the newest commit, for a
+        view; it holds until ``vacuum`` has deleted those folders."""
+        record = record or self.record()
+        events = [f.name for f in self._event_schema(record).fields]
+        shown = [c for c in events if c not in self.spec.except_columns] + ([START_AT, END_AT] if scd_type == 2 else [])
+        types = {f.name: f.dataType.simpleString() for f in self._row_schema(record).fields}
+        parts = []
+        for kind in (OPEN, CLOSED) if scd_type == 2 else (OPEN,):
+            folders: dict[str, list[int]] = {}
+            for e in self._entries(record, kind):
+                folders.setdefault(e["path"], []).append(e["b"])
+            rows = []
+            for path, buckets in folders.items():  # some FAN a tier
+                at = f"{self.root}/{path}/{KIND}={kind}/{BUCKET}={{{','.join(map(str, sorted(buckets)))}}}"
+                held = set(self.spark.read.parquet(at).columns)
+                rows.append(f"SELECT {', '.join(f'`{c}`' if c in held else f'CAST(NULL AS {t}) AS `{c}`' for c, t in types.items())} FROM parquet.`{at}`")
+            if not rows:
+                continue
+            identity = ", ".join(f"`{c}`" for c in [*self.spec.keys, *([START_AT] if kind == CLOSED else [])])
+            union = " UNION ALL ".join(rows)
+            if len(rows) > 1 and (kind == OPEN or record["replaced"]):
+                union = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {identity} ORDER BY {VERSION} DESC) AS __n FROM ({union})) WHERE __n = 1"
+            parts.append(f"SELECT {', '.join(f'`{c}`' for c in shown)} FROM ({union}) WHERE NOT __del")
+        return " UNION ALL ".join(parts)
+
     def change_log(self, buckets: Iterable[int] | None = None, record: dict | None = None) -> DataFrame:
         """Every event applied so far, with ``__bucket`` and ``__batch_id``."""
         record = record or self.record()

@@ -37,7 +37,7 @@ from partsflow.plans.silver import SILVER
 from partsflow.schemas import FEEDS, SILVER_SOURCE, TABLES
 from partsflow.session import apply_engine_conf
 from partsflow.sinks.commits import Files
-from partsflow.sinks.tables import register_table, write_table
+from partsflow.sinks.tables import register_table, register_view, write_table
 from partsflow.sources.files import raw_data_path, stream_feed
 from partsflow.streaming.dimension_store import BATCH_ID, BUCKET, DimensionStore
 from partsflow.streaming.fact_store import FactSpec, FactStore
@@ -229,15 +229,18 @@ def refresh_facts(spark: SparkSession, layout: Layout, names: Iterable[str] | No
 
 
 def register_tables(spark: SparkSession, layout: Layout) -> list[str]:
-    """Catalog tables (comment + properties) over the silver tables and facts
-    (bronze, silver and facts are plain Parquet folders; dimensions carry
-    storage columns and are read with ``read_dimension``)."""
+    """Catalog entries with comment and properties: tables over bronze, silver and facts,
+    views of the dimensions as of now (register again after a run)."""
     names = [FEEDS[f].bronze.name for f in FEEDS] + list(SILVER) + [
         "fact_demand_fulfillment", "fact_work_order_completion"]
     metas = {**{FEEDS[f].bronze.name: FEEDS[f].bronze for f in FEEDS}, **TABLES}
     for name in names:
         register_table(spark, metas[name], layout.table(name))
-    return names
+    for source, (spec, dims) in _dimensions_by_source().items():
+        store = DimensionStore(spark, layout.dimension_store(source), spec)
+        for dim, scd_type in dims.items():
+            register_view(spark, TABLES[dim], store.select_sql(scd_type))
+    return [*names, *DIMENSIONS]
 
 
 def run_pipeline(spark: SparkSession, landing_root: str | None, root: str, n_buckets: int = 64,

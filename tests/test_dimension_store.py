@@ -168,3 +168,21 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, scratch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(list(Path(scratch, "s").glob("data/*/kind=open/__bucket=0/*.parquet"))) > 1
     assert store.dimension(1).count() == 40_000
+
+
+def test_views_read_the_newest_commit(spark, scratch):
+    from partsflow.schemas import TableMeta
+    from partsflow.sinks.tables import register_view
+    store = DimensionStore(spark, f"{scratch}/s", SPEC, n_buckets=2)
+    events = [[("a", 1.0, "INSERT", 1), ("b", 1.0, "INSERT", 1), ("c", 1.0, "INSERT", 1)], [("a", 2.0, "UPDATE", 9), ("b", 3.0, "DELETE", 9)],
+              [("a", 5.0, "UPDATE", 4), ("d", 1.0, "INSERT", 2)]]
+    for i, batch in enumerate(events):
+        store.apply(frame(spark, batch), i)
+    store.apply(spark.createDataFrame([("e", 2.0, "UPDATE", 2, "x")], SCHEMA + ", note string"), 3)
+    for scd_type in (1, 2):
+        register_view(spark, TableMeta(f"view_of_type{scd_type}", (), "it's a view", {"layer": "dimension"}), store.select_sql(scd_type))
+        assert rows(spark.table(f"view_of_type{scd_type}")) == rows(store.dimension(scd_type))
+    described = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED view_of_type2").collect()}
+    assert described["Comment"] == "it's a view" and "layer=dimension" in described["Table Properties"]
+    for scd_type in (1, 2):
+        spark.sql(f"DROP VIEW view_of_type{scd_type}")
