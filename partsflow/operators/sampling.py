@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from partsflow.session import shared_root
 
+HISTOGRAM_BITS = 16
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row position
 
 
@@ -68,8 +69,25 @@ def sample_with_replacement(population: DataFrame, n: int, order_by: Sequence[st
 
 
 def sample_without_replacement(df: DataFrame, k: int, key: Column, seed: int) -> DataFrame:
-    """``k`` distinct rows: the first ``k`` in a seeded order of ``key`` (ties by
-    the key itself).  The order is a range-partitioned sort with a dense index,
-    so no task holds more than its partition, whatever ``k``."""
-    ordered = df.withColumn("__o", seeded_number(key, seed)).withColumn("__k", key)
-    return dense_index(ordered, ["__o", "__k"]).where(F.col("__idx") < k).drop("__o", "__k", "__idx")
+    """``k`` distinct rows (all, if fewer): the first ``k`` in a seeded order of ``key``
+    (ties by the key itself), by threshold selection.
+
+    A histogram of the leading bits of the seeded number (2**HISTOGRAM_BITS counts, the
+    only thing that reaches the driver) tells the bucket in which the k-th row lies.
+    Rows up to that bucket, about ``k`` and a bucket's rows, are kept; only the bucket
+    itself is ordered.  The population is read twice and never sorted or stored."""
+    shared_root(df.sparkSession)
+    bucket = F.shiftright("__o", 60 - HISTOGRAM_BITS)
+    drawn = df.withColumn("__o", seeded_number(key, seed)).withColumn("__k", key)
+    counts = sorted(tuple(r) for r in drawn.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, edge = 0, None
+    for b, n in counts:
+        if before + n > k:
+            edge = b
+            break
+        before += n
+    if edge is None:
+        return df
+    near = drawn.where(bucket <= edge).checkpoint(eager=True)
+    last = near.where(bucket == edge).orderBy("__o", "__k").limit(k - before)
+    return near.where(bucket < edge).unionByName(last).drop("__o", "__k")

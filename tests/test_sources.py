@@ -102,3 +102,33 @@ def test_ansi_overflow_on_declared_cast_fails_loudly(spark):
     df = spark.createDataFrame([("p", 1 << 40)], "part_id string, lead_time_days bigint")
     with pytest.raises(ArithmeticException):
         typed_feed(df, "parts_cdc").collect()
+
+
+def test_threshold_selection_equals_the_ordered_prefix(spark):
+    """The first k of the seeded order, with repeated keys, k of 0, at a bucket's edge, and beyond the population."""
+    import hashlib
+    from collections import Counter
+
+    from partsflow.operators import sampling
+
+    keys = [i % 700 for i in range(1500)]
+    pop = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i int").repartition(5)
+    order = sorted((int(hashlib.md5(f"7:{k}".encode()).hexdigest()[:15], 16), k) for k in keys)
+    old = sampling.HISTOGRAM_BITS
+    try:
+        for bits in (2, 16):
+            sampling.HISTOGRAM_BITS = bits
+            for k in (0, 1, 37, 1499, 1500, 9999):
+                got = sample_without_replacement(pop, k, F.col("k"), seed=7)
+                assert got.columns == ["k", "i"]
+                found = got.collect()
+                assert Counter(r["k"] for r in found) == Counter(x for _, x in order[:k])
+                assert len({r["i"] for r in found}) == len(found)
+    finally:
+        sampling.HISTOGRAM_BITS = old
+    # Uniform: over 300 seeds each of 20 rows is picked about as often.
+    small = spark.range(20).select(F.col("id").alias("k"))
+    picked = Counter(x for s in range(300) for x in [min((int(hashlib.md5(f"{s}:{k}".encode()).hexdigest()[:15], 16), k) for k in range(20))[1]])
+    assert set(picked) == set(range(20)) and max(picked.values()) < 40
+    assert sample_without_replacement(small, 1, F.col("k"), seed=5).first()["k"] == min(
+        (int(hashlib.md5(f"5:{k}".encode()).hexdigest()[:15], 16), k) for k in range(20))[1]
