@@ -58,13 +58,6 @@ N_PARTS = "(SELECT count(*) FROM part)"
 N_TECH = "(SELECT max(user_id) + 1 FROM events)"
 
 
-def _subcategory(k: str) -> str:
-    arms = " ".join(
-        f"WHEN {k} % 10 = {i} THEN {element(V.PART_SUBCATS[c], f'{k} % {len(V.PART_SUBCATS[c])}')}"
-        for i, c in enumerate(V.PART_CATEGORIES))
-    return f"(CASE {arms} END)"
-
-
 # ---------------------------------------------------------------------------
 # feeds
 # ---------------------------------------------------------------------------
@@ -72,14 +65,14 @@ def feed_parts_sql() -> str:
     k = "p_partkey"
     base = cents("p_retailprice")
     cat = element(V.PART_CATEGORIES, f"{k} % 10")
-    sub = _subcategory(k)
+    sub = "p_type"
     name = f"(p_name || ' #' || CAST({k} AS VARCHAR))"
     price_c = (f"(CASE WHEN kind = 2 THEN (CASE WHEN {k} % 4 <> 0 THEN {half_up(base, '130')} "
                f"ELSE {half_up(base, '90')} END) WHEN kind = 4 THEN {base} + 100 ELSE {base} END)")
     cost0 = half_up(base, f"{mix(k, 31, 7, 30)} + 55")
     return f"""
 SELECT printf('PART-%05d', {k}) AS part_id,
-       printf('PW-%s-%05d', substr({cat}, 1, 3), {k}) AS part_number,
+       printf('%s-%05d', p_brand, {k}) AS part_number,
        CASE WHEN {k} % 13 = 5 THEN '  ' || {name} || '  ' ELSE {name} END AS part_name,
        CASE WHEN {k} % 11 = 3 THEN lower(' ' || {cat} || ' ') ELSE {cat} END AS category,
        CASE WHEN {k} % 7 = 2 THEN lower({sub}) ELSE {sub} END AS subcategory,
@@ -115,8 +108,8 @@ def feed_customers_sql() -> str:
     return f"""
 SELECT printf('CUST-%05d', {k}) AS customer_id,
        CASE WHEN {k} % 13 = 5 THEN '  ' || c_name || '  ' ELSE c_name END AS customer_name,
-       CASE WHEN kind = 2 THEN printf('%d New Address Blvd', {mix(k, 131, 9, 9900)} + 100)
-            ELSE printf('%d %s', {mix(k, 7919, 1, 9900)} + 100, {element(V.STREETS, f'{k} % 10')}) END AS address,
+       CASE WHEN kind = 2 THEN printf('%d %s', {mix(k, 131, 9, 9900)} + 100, n_name)
+            ELSE printf('%d %s', {mix(k, 7919, 1, 9900)} + 100, c_mktsegment) END AS address,
        CASE WHEN {k} % 17 = 4 THEN ' ' || n_name || ' ' ELSE n_name END AS city,
        CASE WHEN {k} % 7 = 1 THEN printf('s%02d', c_nationkey) ELSE printf('S%02d', c_nationkey) END AS state,
        CASE WHEN kind = 2 THEN printf('%05d', {mix(k, 611, 5, 89999)} + 10000)
@@ -198,7 +191,7 @@ SELECT {_receiver_id()} AS receiver_id,
        printf('PART-%05d', l_partkey) AS part_id,
        CAST(l_shipdate AS DATE) + CAST({delay} AS INTEGER) AS received_date,
        CAST(trunc(l_quantity) AS BIGINT) AS received_qty,
-       {element(V.WAREHOUSES, 'l_suppkey % 5')} AS warehouse_location,
+       printf('WH-%04d', l_suppkey) AS warehouse_location,
        CASE WHEN {x} % 101 = 0 THEN NULL WHEN l_linenumber = 7 THEN lower({st}) ELSE {st} END AS quality_status,
        printf('INSP-%03d', l_suppkey % 10) AS inspector_id,
        l_shipdate AS created_at
@@ -304,7 +297,7 @@ def feed_labor_sql() -> str:
     avail = f"(CASE WHEN {a} < 8 THEN 80 WHEN {a} = 8 THEN 60 ELSE 40 END)"
     booked = f"(CASE WHEN {k} % 50 = 0 THEN {avail} + 15 ELSE ({avail} * {mix(k, 131, 7, 101)}) // 100 END)"
     avail_out = f"(CASE WHEN {k} % 97 = 0 THEN -10 ELSE {avail} END)"
-    name = "printf('Technician TECH-%04d', user_id)"
+    name = "printf('Tech %04d', user_id)"
     region = element(V.REGIONS, "user_id % 5")
     return f"""
 SELECT printf('SCHED-%07d', {k}) AS schedule_id,

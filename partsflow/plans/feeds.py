@@ -88,16 +88,6 @@ def fmt_part(part_key: Column) -> Column:
     return code("PART-", part_key, 5)
 
 
-def _subcategory(k: Column) -> Column:
-    cat_i = F.pmod(k, F.lit(len(V.PART_CATEGORIES)))
-    expr = None
-    for i, cat in enumerate(V.PART_CATEGORIES):
-        subs = V.PART_SUBCATS[cat]
-        val = element(subs, F.pmod(k, F.lit(len(subs))))
-        expr = F.when(cat_i == i, val) if expr is None else expr.when(cat_i == i, val)
-    return expr
-
-
 # ---------------------------------------------------------------------------
 # parts_cdc
 # ---------------------------------------------------------------------------
@@ -135,14 +125,14 @@ def parts_cdc(t: Tables) -> DataFrame:
                .otherwise(days_before("2025-10-01", mix(k, 13, 2, 30))))
     batch = F.when(kind <= 1, F.lit(1)).when(kind == 5, F.lit(3)).otherwise(F.lit(2))
     category = F.when(F.pmod(k, F.lit(11)) == 3, F.lower(F.concat(F.lit(" "), cat, F.lit(" ")))).otherwise(cat)
-    subcat = _subcategory(k)
+    subcat = F.col("p_type")
     name = F.concat(F.col("p_name"), F.lit(" #"), k.cast("string"))
-    return (t.part.select("p_partkey", "p_name", "p_retailprice")
+    return (t.part.select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
             .withColumn("kind", F.explode(F.array(*[F.lit(i) for i in range(6)])))
             .where(applies)
             .select(
                 fmt_part(k).alias("part_id"),
-                F.concat(F.lit("PW-"), F.substring(cat, 1, 3), F.lit("-"), zpad(k, 5)).alias("part_number"),
+                F.concat(F.col("p_brand"), F.lit("-"), zpad(k, 5)).alias("part_number"),
                 F.when(F.pmod(k, F.lit(13)) == 5, F.concat(F.lit("  "), name, F.lit("  ")))
                 .otherwise(name).alias("part_name"),
                 category.alias("category"),
@@ -190,9 +180,8 @@ def customers_cdc(t: Tables) -> DataFrame:
     tier_out = F.when((kind == 0) & (F.pmod(k, F.lit(9)) == 2), F.lower(tier_now)).otherwise(tier_now)
     mult = pick(mix(k, 7919, 17, 100), [(b, m) for (b, _), m in
                                          zip(V.cumulative(V.CUSTOMER_TIERS), (10, 30, 70, 200))], 200)
-    address = F.when(kind == 2, F.concat((mix(k, 131, 9, 9900) + F.lit(100)).cast("string"), F.lit(" New Address Blvd"))) \
-        .otherwise(F.concat((mix(k, 7919, 1, 9900) + F.lit(100)).cast("string"), F.lit(" "),
-                                   element(V.STREETS, F.pmod(k, F.lit(10)))))
+    address = F.when(kind == 2, F.concat((mix(k, 131, 9, 9900) + F.lit(100)).cast("string"), F.lit(" "), F.col("n_name"))) \
+        .otherwise(F.concat((mix(k, 7919, 1, 9900) + F.lit(100)).cast("string"), F.lit(" "), F.col("c_mktsegment")))
     zip_code = F.when(kind == 2, zpad(mix(k, 611, 5, 89999) + F.lit(10000), 5)) \
         .otherwise(zpad(mix(k, 104729, 3, 89999) + F.lit(10000), 5))
     seq = (k + F.lit(1) + F.when((kind == 1) | (kind == 2) | (kind == 4), F.lit(SEQ_UPDATE))
@@ -205,7 +194,7 @@ def customers_cdc(t: Tables) -> DataFrame:
     name = F.col("c_name")
     city = F.col("n_name")
     region = F.col("r_name")
-    src = (t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    src = (t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
            .join(t.nation.select("n_nationkey", "n_name", "n_regionkey"),
                  F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"), "left"))
@@ -322,7 +311,7 @@ def receivers(t: Tables) -> DataFrame:
         fmt_part(F.col("l_partkey")).alias("part_id"),
         F.date_add(F.col("l_shipdate").cast("date"), delay).alias("received_date"),
         F.col("l_quantity").cast("bigint").alias("received_qty"),
-        element(V.WAREHOUSES, F.pmod("l_suppkey", F.lit(5))).alias("warehouse_location"),
+        code("WH-", F.col("l_suppkey"), 4).alias("warehouse_location"),
         status.alias("quality_status"),
         code("INSP-", F.pmod("l_suppkey", F.lit(10)), 3).alias("inspector_id"),
         F.col("l_shipdate").alias("created_at"),
@@ -474,7 +463,7 @@ def labor_schedules(t: Tables) -> DataFrame:
     avail = F.when(mix(k, 7919, 1, 10) < 8, F.lit(80)).when(mix(k, 7919, 1, 10) == 8, F.lit(60)).otherwise(F.lit(40))
     booked = F.when(F.pmod(k, F.lit(50)) == 0, avail + F.lit(15)).otherwise(idiv(avail * mix(k, 131, 7, 101), 100))
     avail = F.when(F.pmod(k, F.lit(97)) == 0, F.lit(-10)).otherwise(avail)
-    name = code("Technician TECH-", u, 4)
+    name = code("Tech ", u, 4)
     region = element(V.REGIONS, F.pmod(u, F.lit(5)))
     return t.events.select(
         code("SCHED-", k, 7).alias("schedule_id"),
