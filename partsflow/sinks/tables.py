@@ -65,11 +65,17 @@ def write_feed_batches(df: DataFrame, path: str, n_files: int | None = 8, batch_
      .option("partitionOverwriteMode", "dynamic").partitionBy(batch_col).parquet(path))
 
 
+def _drop(spark: SparkSession, name: str) -> None:
+    """Remove a catalog entry, be it a table or a view (never the data below it)."""
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP {'VIEW' if spark.catalog.getTable(name).tableType == 'VIEW' else 'TABLE'} {name}")
+
+
 def register_table(spark: SparkSession, meta: TableMeta, path: str) -> None:
     """Catalog entry with comment and properties over an existing Parquet path."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(meta.properties.items()))
     comment = meta.comment.replace("'", "\\'")
-    spark.sql(f"DROP TABLE IF EXISTS {meta.name}")
+    _drop(spark, meta.name)
     spark.sql(
         f"CREATE TABLE {meta.name} USING parquet LOCATION '{path}' "
         f"COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else ""))
@@ -79,4 +85,5 @@ def register_view(spark: SparkSession, meta: TableMeta, query: str) -> None:
     """Catalog view with comment and properties."""
     props = ", ".join(f"'{k}' = '{v}'" for k, v in sorted(meta.properties.items()))
     comment = meta.comment.replace("'", "\\'")
-    spark.sql(f"CREATE OR REPLACE VIEW {meta.name} COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else "") + f" AS {query}")
+    _drop(spark, meta.name)
+    spark.sql(f"CREATE VIEW {meta.name} COMMENT '{comment}'" + (f" TBLPROPERTIES ({props})" if props else "") + f" AS {query}")

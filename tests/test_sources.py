@@ -132,3 +132,16 @@ def test_threshold_selection_equals_the_ordered_prefix(spark):
     assert set(picked) == set(range(20)) and max(picked.values()) < 40
     assert sample_without_replacement(small, 1, F.col("k"), seed=5).first()["k"] == min(
         (int(hashlib.md5(f"5:{k}".encode()).hexdigest()[:15], 16), k) for k in range(20))[1]
+
+
+def test_a_name_can_change_between_table_and_view(spark, scratch):
+    from partsflow.schemas import TableMeta
+    from partsflow.sinks.tables import register_view
+
+    spark.range(3).write.parquet(f"{scratch}/t")
+    meta = TableMeta("table_or_view", (), "three numbers", {"layer": "test"})
+    for register, source in ((register_table, f"{scratch}/t"), (register_view, "SELECT 7 AS id"), (register_table, f"{scratch}/t"), (register_table, f"{scratch}/t")):
+        register(spark, meta, source)
+        assert spark.table("table_or_view").count() == (1 if register is register_view else 3)
+    spark.sql("DROP TABLE table_or_view")
+    assert spark.read.parquet(f"{scratch}/t").count() == 3
