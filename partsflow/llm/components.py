@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from partsflow.llm.common import materialize
+from partsflow.llm.common import discard, materialize
 
 
 def _min_neighbour(both: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = materialize(links.select("a", "b").where("a <> b").distinct(), "links")
     seen = None
     for _ in range(max_rounds):
-        e = materialize(_small_star(_large_star(e)).distinct(), "links")
+        last, e = e, materialize(_small_star(_large_star(e)).distinct(), "links")
+        discard(last)
         mark = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b").cast("long"))).first())
         if mark == seen or mark[0] == 0:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
