@@ -28,10 +28,17 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
 
 def discard(*tables: DataFrame) -> None:
     """Delete the folders of materialised tables that nothing reads any more: call
-    it when what was made from them is itself written."""
+    it when what was made from them is itself written.  The driver's collector is
+    asked to run, as Spark removes shuffle files when their plans are collected."""
     for df in tables:
         path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of plans that are done with."""
+    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def fresh(df: DataFrame, stem: str) -> str:
