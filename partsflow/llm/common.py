@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from partsflow.session import scratch_dir
 
 FILTER_WORDS = 16_384  # 64-bit words of may_hold's bitmap: 128 kB, whatever the input
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +18,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back: cuts the
-    lineage, survives lost executors, and gives Spark a measured size."""
+    lineage, survives lost executors, and gives Spark a measured size.  The shuffle
+    files of the write go with it."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path, **options)
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path, **options)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -28,17 +35,10 @@ def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
 
 def discard(*tables: DataFrame) -> None:
     """Delete the folders of materialised tables that nothing reads any more: call
-    it when what was made from them is itself written.  The driver's collector is
-    asked to run, as Spark removes shuffle files when their plans are collected."""
+    it when what was made from them is itself written."""
     for df in tables:
         path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    release(tables[0].sparkSession)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of plans that are done with."""
-    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def fresh(df: DataFrame, stem: str) -> str:
