@@ -32,7 +32,7 @@ def bronze(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), folder)
     if key not in _LAYOUTS:
         layout = Layout(scratch_dir(spark, f"bronze-{folder}"))
-        run_bronze(spark, landing_for(spark, sf_dir), layout, folders=[folder])
+        run_bronze(spark, landing_for(spark, sf_dir, [folder]), layout, folders=[folder])
         _LAYOUTS[key] = layout
     table = spark.read.parquet(_LAYOUTS[key].table(FEEDS[folder].bronze.name))
     payload = [c for c in table.columns if c not in ("_source_file", "_ingested_at")]
