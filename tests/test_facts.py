@@ -56,3 +56,21 @@ def test_point_lookups(spark):
     # part 7: deleted then re-inserted -> two versions, the first closed by the delete
     h7 = A.part_history(d2, ["PART-00007"]).collect()
     assert len(h7) == 2 and h7[0]["__END_AT"] < h7[1]["__START_AT"]
+
+
+def test_dimensions_join_the_root_before_the_fan_out(spark):
+    """A sort-merge join with a large dimension moves the root's rows, not receipts x invoices."""
+    from partsflow.operators.clean import clean
+    from partsflow.plans import facts as FX
+    from partsflow.plans.batch import DIMENSIONS, apply_cdc
+    from partsflow.plans.silver import SILVER
+    from partsflow.schemas import FEEDS, SILVER_SOURCE
+
+    s = {name: clean(spark.createDataFrame([], FEEDS[SILVER_SOURCE[name]].hints), SILVER[name]) for name in SILVER}
+    dim = {name: apply_cdc(s[source], spec, kind) for name, (source, spec, kind) in DIMENSIONS.items()}
+    demand = FX.fact_demand_fulfillment(s["silver_purchase_orders"], s["silver_demand_signals"], s["silver_receivers"], s["silver_invoices"], dim["dim_part_type1"])
+    work = FX.fact_work_order_completion(s["silver_work_orders"], s["silver_customer_quotes"], s["silver_labor_schedules"], dim["dim_part_type1"], dim["dim_customer_type1"])
+    for fact, dims, sides in ((demand, ["dp__part_id"], ["r__po_id", "inv__po_id"]), (work, ["dp__part_id", "dc__customer_id"], ["q__wo_id", "ls__technician_id"])):
+        joins = [line for line in fact._jdf.queryExecution().analyzed().toString().splitlines() if "Join LeftOuter" in line]
+        at = lambda key: next(i for i, line in enumerate(joins) if f"{key}#" in line)
+        assert min(map(at, dims)) > max(map(at, sides)), joins  # outer joins stand first
