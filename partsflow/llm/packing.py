@@ -16,6 +16,8 @@ import heapq
 import json
 import os
 import re
+import sys
+import types
 import zlib
 from itertools import chain
 
@@ -120,12 +122,11 @@ class WordTokenizer:
         if len(self._now) > REMEMBERED_WORDS:
             self._before, self._now = self._now, {"": b""}
         new = []
-        for w in set(chain.from_iterable(words)):
-            if w not in self._now:
-                if w in self._before:
-                    self._now[w] = self._before[w]
-                else:
-                    new.append(w)
+        for w in set(chain.from_iterable(words)).difference(self._now):
+            if w in self._before:
+                self._now[w] = self._before[w]
+            else:
+                new.append(w)
         if self._model:
             self._encode_plain(new)
             new = [w for w in new if w not in self._now]
@@ -134,6 +135,16 @@ class WordTokenizer:
         return [np.frombuffer(b"".join(map(get, ws)), dtype="<u4") for ws in words]
 
 
+def _tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer a worker process, kept from task to task with the words it remembers."""
+    memo = sys.modules.setdefault("partsflow_worker_memo", types.ModuleType("partsflow_worker_memo"))
+    kept = memo.__dict__.setdefault("word_tokenizers", {})
+    if path not in kept:
+        kept.clear()
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
     """Window of each item when ``sizes`` is split into ``k`` near-equal windows
     by Karmarkar-Karp multiway differencing."""
@@ -198,7 +209,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int | None = 1, capacit
     into full windows and smaller pieces.  A null text is empty; without
     ``end_id`` an empty text has no piece."""
     def run(batches):
-        t = WordTokenizer(tokenizer_path)
+        t = _tokenizer(tokenizer_path)
         for b in batches:
             texts = [x or "" for x in b["t"]]
             for at in range(0, len(texts), 256):
