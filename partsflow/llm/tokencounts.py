@@ -60,7 +60,7 @@ class Vocabulary:
         raw = lambda s: bytes(map(to_byte.__getitem__, s))
         special = set(self.specials)
         self.tokens = {raw(s) for s in model["vocab"] if s not in special}
-        self.longest = max(map(len, self.tokens), default=1)
+        self.prefixes = {t[:i] for t in self.tokens for i in range(1, len(t) + 1)}
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.merges = {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(merges)}
         self._pairs: dict[tuple[bytes, bytes], bool] = {}
@@ -90,9 +90,12 @@ class Vocabulary:
     def prefix_counts(self, word: bytes) -> list[int]:
         """Token counts of the prefixes of 0 to len(word) bytes."""
         counts, last = [0], [b""]
-        tokens, pairs, together, longest = self.tokens, self._pairs, self.together, self.longest
+        tokens, prefixes, pairs, together = self.tokens, self.prefixes, self._pairs, self.together
+        low = 0  # no token that ends here or later begins before
         for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
+            while low < end and word[low:end] not in prefixes:
+                low += 1
+            for start in range(low, end):
                 t = word[start:end]
                 if t in tokens:
                     a = last[start]
@@ -168,8 +171,9 @@ class Pieces(dict):
         self.length.append(len(counts))
         self.total.append(counts[-1])
         self.flat.extend(counts)
-        self.blank.append(self._is_blank(text))
-        self.opens_blank.append(self._is_blank(text[0]))
+        opens = self._is_blank(text[0])
+        self.opens_blank.append(opens)
+        self.blank.append(opens and self._is_blank(text))
         n = len(self)
         self[piece] = n
         return n
