@@ -16,11 +16,15 @@ length are covered in bounded memory.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from partsflow.llm.common import fresh
+
 BLOCK = 512
 MAX_DOCS = 64        # labelled documents a language, at most
 MAX_DOC_CHARS = 4000  # a slice of at most so many characters of each
@@ -239,26 +243,29 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (pred_col, score_col)]
     shared = docs.sparkSession.sparkContext.broadcast(model.state())
+    # The text goes to the workers once; names of their own, so that no input column clashes.
+    text, pred, score = text_col if text_col in keep else fresh(docs, "t"), fresh(docs, "pred"), fresh(docs, "score")
+    aside = text_col not in keep
+    extra = [F.col(text_col).alias(text)] if aside else []
 
     def run(batches):
+        sys.modules.pop("partsflow_worker_memo", None)  # what another operator's tasks remember in this worker
         m = Model.restore(shared.value)
         for b in batches:
-            texts = b["__t"].tolist()
-            lang, score, at = [], [], 0
-            while at < len(texts):
+            rest = b.drop_columns([text]) if aside else b
+            sizes = pc.fill_null(pc.utf8_length(b.column(text)), 0).to_numpy(zero_copy_only=False)
+            at = 0
+            while at < b.num_rows:
                 end, chars = at, 0
-                while end < len(texts) and (end == at or chars < piece_chars):
-                    chars += len(texts[end] or "")
+                while end < b.num_rows and (end == at or chars < piece_chars):
+                    chars += int(sizes[end])
                     end += 1
-                one, two = m.predict(texts[at:end])
-                lang += one
-                score += two
+                lang, points = m.predict(b.column(text).slice(at, end - at).to_pylist())
+                part = rest.slice(at, end - at)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(points, pa.float64())],
+                                                 names=[*part.schema.names, pred, score])
                 at = end
-            out = b.drop(columns="__t")
-            out[pred_col] = lang
-            out[score_col] = np.array(score, dtype=float)
-            yield out
 
-    src = docs.select(*keep, F.col(text_col).alias("__t"))
-    schema = docs.select(*keep).schema.add(pred_col, "string").add(score_col, "double")
-    return src.mapInPandas(run, schema)
+    schema = docs.select(*keep).schema.add(pred, "string").add(score, "double")
+    out = docs.select(*keep, *extra).mapInArrow(run, schema)
+    return out.withColumnRenamed(pred, pred_col).withColumnRenamed(score, score_col)
